@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from formflow.functions import IdRule, matches_pattern
 
@@ -109,8 +109,10 @@ def load_case_rows(
     the per-record keys; the EAV rows move once, to meet the accepted keys.
     """
     keys = record_keys(eav, case_field, catchment_prefix).fillna("", ["case_id", "catchment_id"])
+    # The window holds one row per site of a record, never the record's EAV rows.
+    checked = keys.withColumn("valid", F.bool_and(rule(F.col("case_id"))).over(W.partitionBy("record")))
+    accepted = checked.filter("valid").drop("valid")
     bad = keys.filter(~rule(F.col("case_id")))
-    accepted = keys.join(bad.select("record").distinct(), "record", "left_anti")
     rows = eav.join(accepted, ["record", "site_id"]).select(
         "site_id", "catchment_id", F.col("record").alias("report_id"), "case_id", "field_name",
         F.col("value").alias("field_value"),

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from formflow.functions import to_day
+from formflow.operators.decode import of_study
+from formflow.operators.reshape import live_rows, suppress_answers
 
 
 def conditional_max(rows: DataFrame, key: str, groups: Mapping[str, Sequence[str]], date_col: str = "created_on") -> DataFrame:
@@ -24,18 +26,36 @@ def conditional_max(rows: DataFrame, key: str, groups: Mapping[str, Sequence[str
     )
 
 
+def lab_dates(
+    mart: DataFrame, dictionary: DataFrame, registrations: DataFrame, study: str, suppressed: Mapping[str, str],
+    groups: Mapping[str, Sequence[str]],
+) -> DataFrame:
+    """``conditional_max`` over the registered report view, without building that view.
+
+    The dates need neither labels nor the registration's columns: rows are
+    reduced to one per case on the map side first, and only those meet the
+    registrations, as a semi join.
+    """
+    forms = sorted({f for names in groups.values() for f in names})
+    active = dictionary.filter((F.col("active") == 1) & F.col("form_name").isin(forms)).select("field_name", "form_name")
+    rows = suppress_answers(live_rows(mart).join(active, "field_name"), suppressed)
+    cases = of_study(registrations, study).select("case_id")
+    return conditional_max(rows, "case_id", groups).join(cases, "case_id", "left_semi")
+
+
 def last_date(rows: DataFrame, key: str, out: str, date_col: str = "created_on") -> DataFrame:
     return rows.groupBy(key).agg(F.max(to_day(date_col)).alias(out))
 
 
 def status_rollup(
     notifications: DataFrame, sites: DataFrame, registrations: DataFrame, abstraction: DataFrame,
-    procedures: DataFrame, decoded_lab: DataFrame, lab_groups: Mapping[str, Sequence[str]], run_date: Column,
+    procedures: DataFrame, lab: DataFrame, run_date: Column,
 ) -> DataFrame:
     """One row per notified and registered case with the last date of each later step.
 
-    The three date inputs are reduced to one row per case before they are
-    joined, so all three joins after registration cluster on the case id.
+    ``lab`` has one row per case (``lab_dates``). The date inputs are reduced to
+    one row per case before they are joined, so the joins after registration
+    cluster on the case id.
     """
     n = notifications.alias("n")
     r = registrations.filter(F.col("active") == 1).alias("r")
@@ -57,7 +77,6 @@ def status_rollup(
     proc = procedures.filter(F.col("site_guid").isNotNull()).select(
         "case_id", "file_name", to_day("created_on").alias("procedure_on")
     )
-    lab = conditional_max(decoded_lab, "case_id", lab_groups)
     out = (
         base.join(abstracted, "case_id", "left")
         .join(proc, ["case_id", "file_name"], "left")
@@ -66,7 +85,8 @@ def status_rollup(
     return out.select(
         "case_id", "report_id", "catchment_id", "notified_on",
         F.datediff(run_date, to_day("notified_on")).alias("days_since_notification"),
-        "site_id", "site_guid", "site_name", "procedure_on", "abstraction_on", *lab_groups,
+        "site_id", "site_guid", "site_name", "procedure_on", "abstraction_on",
+        *[c for c in lab.columns if c != "case_id"],
     )
 
 

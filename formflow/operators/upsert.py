@@ -20,6 +20,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from formflow.functions import null_safe_key
+from formflow.session import materialise
 
 KEEP, UPDATE, INSERT = "keep", "update", "insert"
 DUPLICATE, MISSING, DELETE = "duplicate", "missing", "delete"
@@ -203,6 +204,23 @@ def action_counts(versioned: DataFrame) -> DataFrame:
     )
 
 
+def apply_upsert(
+    target: DataFrame, source: DataFrame, spec: MergeSpec, *, missing_keys: Sequence[str], scope: str,
+    duplicate_keys: Sequence[str] | None = None, duplicate_order: Sequence[str] = (), stamps: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Merge, then deactivate older duplicates, then rows missing from the source.
+
+    ``missing_keys`` may differ from the merge keys. The source is written once
+    and read by every step; so is the result of each step, because the next one
+    reads it more than once.
+    """
+    source = materialise(source, "upsert-source")
+    out = materialise(merge(target, source, spec), "merged")
+    if duplicate_keys:
+        out = materialise(deactivate_duplicates(out, duplicate_keys, duplicate_order, scope), "deduplicated")
+    return deactivate_missing(out, source, missing_keys, scope, stamps)
+
+
 def _with_action(df: DataFrame) -> DataFrame:
     return df if "_action" in df.columns else df.withColumn("_action", F.lit(KEEP))
 

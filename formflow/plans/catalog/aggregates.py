@@ -40,7 +40,7 @@ def agg_conditional_max(spark, d):
 @query("agg_last_date", oracle("""
 select case_id, strftime(max(try_cast(created_on as date)), '%Y-%m-%d') as last_on from fx_repeat_mart group by case_id"""))
 def agg_last_date(spark, d):
-    out = rollup.last_date(fixture(spark, d, "fx_repeat_mart"), "case_id", "last_on")
+    out = rollup.last_date(inputs.repeat_mart(spark, d), "case_id", "last_on")
     return out.withColumn("last_on", F.date_format("last_on", "yyyy-MM-dd"))
 
 
@@ -83,19 +83,19 @@ select case_id, repeat_instrument, repeat_instance, field_name, field_value, cou
 from fx_repeat_mart group by all having count(*) > 1"""))
 def dq_duplicate_keys(spark, d):
     keys = ["case_id", "repeat_instrument", "repeat_instance", "field_name", "field_value"]
-    return quality.duplicate_keys(fixture(spark, d, "fx_repeat_mart"), keys)
+    return quality.duplicate_keys(inputs.repeat_mart(spark, d), keys)
 
 
 @query("dq_top_duplicates", oracle("""
 select case_id, field_name, count(*) as row_count from fx_repeat_mart group by all having count(*) > 1
 order by row_count desc, case_id, field_name limit 5"""))
 def dq_top_duplicates(spark, d):
-    return quality.top_duplicates(fixture(spark, d, "fx_repeat_mart"), ["case_id", "field_name"])
+    return quality.top_duplicates(inputs.repeat_mart(spark, d), ["case_id", "field_name"])
 
 
 @query("agg_flag_counts", oracle("select is_deleted, count(*) as row_count from fx_repeat_mart group by is_deleted"))
 def agg_flag_counts(spark, d):
-    return quality.flag_counts(fixture(spark, d, "fx_repeat_mart"))
+    return quality.flag_counts(inputs.repeat_mart(spark, d))
 
 
 @query("agg_ordered_listagg", oracle("""

@@ -46,8 +46,22 @@ def report(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def repeat_mart(spark: SparkSession, d: str) -> DataFrame:
+    """Mart of repeating-form rows (``fx_repeat_mart``): one scan, un-pivoted."""
+    wide = fixture(spark, d, "fx_repeat").withColumn("_flag", F.col("returnflag"))
+    tall = wide.unpivot(
+        ["record", "repeat_instrument", "repeat_instance", "created_on", "_flag"],
+        ["returnflag", "linestatus", "ship_dt", "kit_id"], "field_name", "field_value",
+    )
+    gone = (F.col("field_name") == "kit_id") & (F.col("_flag") == "N")
+    return tall.select(
+        F.col("record").alias("case_id"), "repeat_instrument", "repeat_instance", "field_name", "field_value", "created_on",
+        F.when(gone, 1).otherwise(0).alias("is_deleted"),
+    )
+
+
 def registered(spark: SparkSession, d: str) -> DataFrame:
     return decode.decode_registered(
-        fixture(spark, d, "fx_repeat_mart"), fixture(spark, d, "fx_codes"), fixture(spark, d, "fx_repeat_dict"),
+        repeat_mart(spark, d), fixture(spark, d, "fx_codes"), fixture(spark, d, "fx_repeat_dict"),
         fixture(spark, d, "fx_registration"), STUDY, SUPPRESSED,
     )

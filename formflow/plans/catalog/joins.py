@@ -77,7 +77,7 @@ from fx_repeat_mart m join fx_registration r on r.case_id = m.case_id and r.kind
 where m.is_deleted = 0"""))
 def join_residual(spark, d):
     cases = decode.of_study(fixture(spark, d, "fx_registration"), STUDY, "O").select("case_id", "site_guid")
-    rows = fixture(spark, d, "fx_repeat_mart").filter(F.col("is_deleted") == 0)
+    rows = inputs.repeat_mart(spark, d).filter(F.col("is_deleted") == 0)
     return rows.join(cases, "case_id").select("case_id", "field_name", "field_value", "site_guid")
 
 
@@ -88,7 +88,7 @@ LAB_GROUPS = {
 
 def procedures(spark, d):
     out = views.procedure(
-        fixture(spark, d, "fx_repeat_mart"), fixture(spark, d, "fx_site"),
+        inputs.repeat_mart(spark, d), fixture(spark, d, "fx_site"),
         {"kit": "kit_id", "performed_on": "ship_dt"}, "linestatus", "O", STUDY, inputs.run_ts(),
     )
     return out
@@ -111,9 +111,12 @@ left join (select case_id, max(case when form_name = 'specimen_form' then try_ca
                   max(try_cast(created_on as date)) as any_lab_on from ox_registered group by case_id) l on r.case_id = l.case_id"""))
 def status_rollup(spark, d):
     notes = views.notification(inputs.decoded(spark, d), fixture(spark, d, "fx_site"), "form_a", "order_dt", STUDY, inputs.run_ts())
+    mart, registrations = inputs.repeat_mart(spark, d), fixture(spark, d, "fx_registration")
+    lab = rollup.lab_dates(
+        mart, fixture(spark, d, "fx_repeat_dict"), registrations, STUDY, inputs.SUPPRESSED, LAB_GROUPS
+    )
     out = rollup.status_rollup(
-        notes, fixture(spark, d, "fx_site"), fixture(spark, d, "fx_registration"), fixture(spark, d, "fx_repeat_mart"),
-        procedures(spark, d), inputs.registered(spark, d), LAB_GROUPS, F.to_date(F.lit(RUN_DATE)),
+        notes, fixture(spark, d, "fx_site"), registrations, mart, procedures(spark, d), lab, F.to_date(F.lit(RUN_DATE)),
     )
     dates = ["procedure_on", "abstraction_on", *LAB_GROUPS]
     return out.withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in dates})

@@ -17,7 +17,7 @@ select deleted_records, total_records, deleted_records * 100.0::double / total_r
        case when deleted_records * 100.0 / total_records > 5 then 1 else 0 end as failed
 from (select count(*) as total_records, count(*) filter (is_deleted = 1) as deleted_records from fx_repeat_mart)"""))
 def dq_soft_delete_pct(spark, d):
-    return quality.soft_delete_percentage(fixture(spark, d, "fx_repeat_mart"), 5)
+    return quality.soft_delete_percentage(inputs.repeat_mart(spark, d), 5)
 
 
 @query("dq_length_rule", oracle("""
@@ -45,7 +45,7 @@ def dq_not_null_sample(spark, d):
 
 @query("dq_not_null_failures", oracle("select case_id, field_name, field_value from fx_repeat_mart where repeat_instance is null"))
 def dq_not_null_failures(spark, d):
-    rows = fixture(spark, d, "fx_repeat_mart").select("case_id", "repeat_instance", "field_name", "field_value")
+    rows = inputs.repeat_mart(spark, d).select("case_id", "repeat_instance", "field_name", "field_value")
     return quality.not_null_failures(rows, "repeat_instance").drop("repeat_instance")
 
 
@@ -68,7 +68,7 @@ select c as column_name, n as row_count, k as null_count from (select count(*) a
  count(*) filter (case_id is null) as a, count(*) filter (repeat_instance is null) as b, count(*) filter (created_on is null) as e from fx_repeat_mart) t,
  lateral (values ('case_id', a), ('repeat_instance', b), ('created_on', e)) u(c, k)"""))
 def dq_null_profile(spark, d):
-    return quality.null_profile(fixture(spark, d, "fx_repeat_mart"), ["case_id", "repeat_instance", "created_on"])
+    return quality.null_profile(inputs.repeat_mart(spark, d), ["case_id", "repeat_instance", "created_on"])
 
 
 _CHANGED = "case when field_name = 'priority' then upper(value) || '!' else value end as value"
@@ -101,7 +101,7 @@ from (select count(*) as n, count(*) filter (case_id is null) as a, count(*) fil
      (select count(*) as m, count(*) filter (case_id is null) as a2, count(*) filter (repeat_instance is null) as b2 from fx_repeat_mart where is_deleted = 0) r,
      lateral (values ('case_id', l.a, r.a2), ('repeat_instance', l.b, r.b2)) u(c, k, j)"""))
 def dq_profile_equivalence(spark, d):
-    rows = fixture(spark, d, "fx_repeat_mart")
+    rows = inputs.repeat_mart(spark, d)
     cols = ["case_id", "repeat_instance"]
     return quality.compare_profiles(rows.select(*cols), rows.filter("is_deleted = 0").select(*cols))
 

@@ -147,7 +147,7 @@ select sha256(concat_ws(chr(1), packet_id, case_id, coalesce(repeat_instrument,
 from (select concat('P-', case_id) as packet_id, case_id, repeat_instrument, repeat_instance, field_name, field_value,
              case when field_name = 'kit_id' then null else created_on end as created_on from fx_repeat_mart)"""))
 def mart_full_refresh(spark, d):
-    packets = fixture(spark, d, "fx_repeat_mart").withColumns({
+    packets = inputs.repeat_mart(spark, d).withColumns({
         "packet_id": F.concat(F.lit("P-"), "case_id"),
         "created_on": F.when(F.col("field_name") == "kit_id", None).otherwise(F.col("created_on")),
     })
@@ -197,7 +197,7 @@ where (d.form_name = 'specimen_form' and m.field_value <> 'N') or (d.form_name =
    or d.form_name not in ('specimen_form', 'culture_form')"""))
 def filter_form_answers(spark, d):
     forms = fixture(spark, d, "fx_repeat_dict").select("field_name", "form_name")
-    rows = fixture(spark, d, "fx_repeat_mart").join(forms, "field_name")
+    rows = inputs.repeat_mart(spark, d).join(forms, "field_name")
     kept = reshape.suppress_answers(rows, inputs.SUPPRESSED)
     return kept.select("case_id", "repeat_instance", "field_name", "field_value", "form_name")
 

@@ -124,9 +124,10 @@ from (select m.* exclude (active, _action), active as active_now, _action as was
       from ({_oracle(ON, _SET, target_filter="t.active = 1")}) m) x"""))
 def upsert_full_step(spark, d):
     # Merge, then older duplicates per case, then rows missing from the source.
-    merged = _merge(spark, d, ALWAYS)
-    deduped = upsert.deactivate_duplicates(merged, ["case_id"], ["created_on", "id"], "active = 1")
-    done = upsert.deactivate_missing(deduped, fixture(spark, d, "fx_source"), ["case_id", "kind"], "active = 1")
+    done = upsert.apply_upsert(
+        fixture(spark, d, "fx_target"), fixture(spark, d, "fx_source"), ALWAYS, missing_keys=["case_id", "kind"],
+        scope="active = 1", duplicate_keys=["case_id"], duplicate_order=["created_on", "id"],
+    )
     return done.drop("_action")
 
 

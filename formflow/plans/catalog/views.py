@@ -75,6 +75,6 @@ from (select m.case_id, r.site_guid, max(case when field_name = 'linestatus' the
 where performed = 'O'"""))
 def view_specimens(spark, d):
     return views.specimens(
-        fixture(spark, d, "fx_repeat_mart"), fixture(spark, d, "fx_registration"), "kit_id", "ship_dt", "linestatus", "O",
+        inputs.repeat_mart(spark, d), fixture(spark, d, "fx_registration"), "kit_id", "ship_dt", "linestatus", "O",
         "YES", STUDY, "F", "etl", inputs.run_ts(),
     )

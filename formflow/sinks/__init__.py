@@ -8,7 +8,11 @@ from datetime import datetime
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-_CSV = {"header": True, "escape": '"', "quote": '"'}
+# Everything quoted and NULL spelled out, so that NULL, '' and blanks survive the round trip.
+_CSV = {
+    "header": True, "escape": '"', "quote": '"', "quoteAll": True, "nullValue": "\\N",
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
 
 
 def export(df: DataFrame, path: str) -> dict[str, str]:
