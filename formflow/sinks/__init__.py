@@ -88,7 +88,10 @@ class Snapshot:
     def changes(self, spark: SparkSession) -> DataFrame | None:
         """The current version with the ``_action`` column of the step that wrote it."""
         v = self.version(spark)
-        return spark.read.parquet(self._path(v)) if v else None
+        return self.at(spark, v) if v else None
+
+    def at(self, spark: SparkSession, version: int) -> DataFrame:
+        return spark.read.parquet(self._path(version))
 
     def publish(self, df: DataFrame, published_at: datetime) -> int:
         spark = df.sparkSession
