@@ -11,7 +11,7 @@ the state from one block to the next.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -40,45 +40,55 @@ def _before(keys: Sequence[str]):
     return W.partitionBy(*keys).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
 
 
-def _inside(keys: Sequence[str], order_col: str):
-    return W.partitionBy(*keys, "_block").orderBy(order_col)
+def ordered_columns(
+    df: DataFrame, order_col: str, *, fills: Mapping[str, Column] | None = None, counts: Mapping[str, Column] | None = None,
+    keys: Sequence[str] = (), blocks: int = BLOCKS,
+) -> DataFrame:
+    """Several order-dependent columns over one blocking of the rows.
+
+    fills   {output: value}      last non-NULL value up to and including this row
+    counts  {output: condition}  number of rows so far for which the condition holds
+
+    The input is read for its bounds, for the summary and for the rows: ask for
+    all columns in one call, and write an expensive input to a table first.
+    """
+    fills, counts = fills or {}, counts or {}
+    rows = df.withColumns({
+        **{f"_v_{c}": v for c, v in fills.items()},
+        **{f"_n_{c}": F.when(cond, 1).otherwise(0) for c, cond in counts.items()},
+    })
+    blocked = with_block(rows, order_col, blocks)
+    summary = blocked.groupBy(*keys, "_block").agg(
+        *[F.max_by(f"_v_{c}", F.when(F.col(f"_v_{c}").isNotNull(), F.col(order_col))).alias(f"_v_{c}") for c in fills],
+        *[F.sum(f"_n_{c}").alias(f"_n_{c}") for c in counts],
+    )
+    before = _before(keys)
+    carry = summary.select(
+        *keys, "_block",
+        *[F.last(f"_v_{c}", ignorenulls=True).over(before).alias(f"_c_{c}") for c in fills],
+        *[F.coalesce(F.sum(f"_n_{c}").over(before), F.lit(0)).alias(f"_c_{c}") for c in counts],
+    )
+    inside = W.partitionBy(*keys, "_block").orderBy(order_col).rowsBetween(W.unboundedPreceding, 0)
+    out = _attach(blocked, carry, keys).withColumns({
+        **{c: F.coalesce(F.last(f"_v_{c}", ignorenulls=True).over(inside), F.col(f"_c_{c}")) for c in fills},
+        **{c: (F.col(f"_c_{c}") + F.sum(f"_n_{c}").over(inside)).cast("bigint") for c in counts},
+    })
+    names = [*fills, *counts]
+    return out.drop("_block", *[f"_v_{c}" for c in fills], *[f"_n_{c}" for c in counts], *[f"_c_{c}" for c in names])
 
 
 def row_number(df: DataFrame, order_col: str, out: str = "sequence_id", blocks: int = BLOCKS) -> DataFrame:
     """Dense number 1..n in sequence order."""
-    return running_count(df, order_col, F.lit(True), out, blocks)
+    return ordered_columns(df, order_col, counts={out: F.lit(True)}, blocks=blocks)
 
 
-def running_count(
-    df: DataFrame, order_col: str, condition: Column, out: str, blocks: int = BLOCKS,
-) -> DataFrame:
+def running_count(df: DataFrame, order_col: str, condition: Column, out: str, blocks: int = BLOCKS) -> DataFrame:
     """Number of rows up to and including this one for which ``condition`` holds."""
-    blocked = with_block(df.withColumn("_hit", F.when(condition, 1).otherwise(0)), order_col, blocks)
-    hits = blocked.groupBy("_block").agg(F.sum("_hit").alias("_hits"))
-    carry = hits.select("_block", F.coalesce(F.sum("_hits").over(_before(())), F.lit(0)).alias("_carry"))
-    inside = F.sum("_hit").over(_inside((), order_col).rowsBetween(W.unboundedPreceding, 0))
-    return (
-        _attach(blocked, carry, ())
-        .withColumn(out, (F.col("_carry") + inside).cast("bigint"))
-        .drop("_hit", "_block", "_carry")
-    )
+    return ordered_columns(df, order_col, counts={out: condition}, blocks=blocks)
 
 
 def fill_down(
     df: DataFrame, order_col: str, value: Column, out: str, keys: Sequence[str] = (), blocks: int = BLOCKS,
 ) -> DataFrame:
     """Last non-NULL ``value`` up to and including this row, per key."""
-    blocked = with_block(df.withColumn("_v", value), order_col, blocks)
-    last = F.max_by(F.col("_v"), F.when(F.col("_v").isNotNull(), F.col(order_col)))
-    lasts = blocked.groupBy(*keys, "_block").agg(last.alias("_last"))
-    carry = lasts.select(
-        *keys, "_block", F.last("_last", ignorenulls=True).over(_before(keys)).alias("_carry")
-    )
-    inside = F.last("_v", ignorenulls=True).over(
-        _inside(keys, order_col).rowsBetween(W.unboundedPreceding, 0)
-    )
-    return (
-        _attach(blocked, carry, keys)
-        .withColumn(out, F.coalesce(inside, F.col("_carry")))
-        .drop("_v", "_block", "_carry")
-    )
+    return ordered_columns(df, order_col, fills={out: value}, keys=keys, blocks=blocks)

@@ -218,11 +218,11 @@ def test_blocked_windows_equal_plain_windows(spark, blocks):
     df.createOrReplaceTempView("ord")
     want = spark.sql("""select id, last_value(v) ignore nulls over (order by id) a, last_value(v) ignore nulls over (partition by k order by id) b,
         count_if(v is not null) over (order by id) c, row_number() over (order by id) d from ord""")
-    x = ordered.fill_down(df, "id", F.col("v"), "a", blocks=blocks)
-    x = ordered.fill_down(x, "id", F.col("v"), "b", keys=["k"], blocks=blocks)
-    x = ordered.running_count(x, "id", F.col("v").isNotNull(), "c", blocks)
-    x = ordered.row_number(x, "id", "d", blocks)
-    assert rows(x.select("id", "a", "b", "c", "d"), "id") == rows(want, "id")
+    whole = ordered.ordered_columns(
+        df, "id", fills={"a": F.col("v")}, counts={"c": F.col("v").isNotNull(), "d": F.lit(True)}, blocks=blocks)
+    assert rows(whole.select("id", "a", "c", "d"), "id") == rows(want.select("id", "a", "c", "d"), "id")
+    keyed = ordered.fill_down(df, "id", F.col("v"), "b", keys=["k"], blocks=blocks)
+    assert rows(keyed.select("id", "b"), "id") == rows(want.select("id", "b"), "id")
 
 
 # --- merge ----------------------------------------------------------------------------------
