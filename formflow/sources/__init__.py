@@ -115,15 +115,15 @@ def union_projects(projects: Mapping[str, DataFrame], default_sites: Mapping[str
     return out
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on an input that is a single unsplittable file.
+def spread(df: DataFrame, most: int = 64) -> DataFrame:
+    """Use several cores on an input that is one unsplittable file.
 
     One JSON array, one multi-line CSV or one parquet row group is one task, and
     so is everything up to the first shuffle. Only then are the rows (still
-    narrow) dealt out; an input with a task per core or more is left alone.
+    narrow) dealt out; an input of two tasks or more is left alone.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+    return df.repartition(min(cores, most)) if df.rdd.getNumPartitions() == 1 < cores else df
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, key: str, bounds: Sequence[int], partitions: int) -> DataFrame:
