@@ -91,8 +91,8 @@ def test_dynamic_pivot_is_bounded(spark):
 
 
 def test_prefix_underscore_is_plain(spark):
-    df = spark.createDataFrame([("mits_performed_a",), ("mitsXperformed",), ("champs_id",)], "field_name string")
-    assert rows(reshape.of_fields(df, prefixes=["mits_performed"])) == [("mits_performed_a",)]
+    df = spark.createDataFrame([("kit_state_a",), ("kitXstate_a",), ("case_id",)], "field_name string")
+    assert rows(reshape.of_fields(df, prefixes=["kit_state"])) == [("kit_state_a",)]
 
 
 def test_width_cut(spark):
