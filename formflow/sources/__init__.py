@@ -115,15 +115,18 @@ def union_projects(projects: Mapping[str, DataFrame], default_sites: Mapping[str
     return out
 
 
-def spread(df: DataFrame, most: int = 64) -> DataFrame:
-    """Use several cores on an input that is one unsplittable file.
-
-    One JSON array, one multi-line CSV or one parquet row group is one task, and
-    so is everything up to the first shuffle. Only then are the rows (still
-    narrow) dealt out; an input of two tasks or more is left alone.
+def spread(df: DataFrame, few: int = 4, most: int = 64) -> DataFrame:
+    """Use several cores on an input of very few tasks, such as one unsplittable file.
+
+    One JSON array, one multi-line CSV or one parquet row group is read by one
+    task (further byte ranges of it are empty), and so is everything up to the
+    first shuffle. Only then are the rows, still narrow, dealt out: at most
+    ``few`` scan tasks, so at most that many splits of data move. Larger inputs
+    are left alone.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(min(cores, most)) if df.rdd.getNumPartitions() == 1 < cores else df
+    tasks = df.rdd.getNumPartitions()
+    return df.repartition(min(cores, most)) if tasks <= few and tasks < cores else df
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, key: str, bounds: Sequence[int], partitions: int) -> DataFrame:
