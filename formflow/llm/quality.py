@@ -47,9 +47,11 @@ class Risk:
 def repeated_words(words: Column) -> Column:
     """Words inside a three-word window that occurs twice or more among ``words``, the first occurrence included.
 
-    The windows are compared as strings, sorted with their positions only where some window repeats; the covered words
-    are then counted from the gaps between repeated positions.
+    Sorting the windows as strings shows which ones repeat. Their positions come from looking every window up in that
+    list, or, where the list is long, from sorting the windows with their positions; the covered words are counted from
+    the gaps between repeated positions.
     """
+    short = 32
 
     def windows(w: Column) -> Column:
         n = F.size(w)
@@ -57,20 +59,34 @@ def repeated_words(words: Column) -> Column:
         triples = F.zip_with(pairs, F.slice(w, 3, F.greatest(n - 2, F.lit(0))), lambda a, b: F.concat(a, F.lit(" "), b))
         return F.slice(triples, 1, F.greatest(n - 2, F.lit(0)))
 
-    def covered(s: Column) -> Column:
-        n = F.size(s)
-        twins = F.transform(s, lambda x, i: F.when(
-            ((i > 0) & (s[F.greatest(i - 1, F.lit(0))]["g"] == x["g"])) | ((i < n - 1) & (s[F.least(i + 1, n - 1)]["g"] == x["g"])), x["i"]))
+    def twins(s: Column) -> Column:
+        following = F.slice(s, 2, F.greatest(F.size(s) - 1, F.lit(0)))
+        return F.array_distinct(F.array_compact(F.zip_with(s, following, lambda a, b: F.when(a == b, a))))
+
+    def looked_up(g: Column, repeated: Column) -> Column:
+        return F.array_compact(F.transform(g, lambda x, i: F.when(F.array_contains(repeated, x), i)))
+
+    def by_sorting(g: Column) -> Column:
+        ordered = F.sort_array(F.transform(g, lambda x, i: F.struct(x.alias("g"), i.alias("i"))))
+
+        def of(s: Column) -> Column:
+            n = F.size(s)
+            return F.sort_array(F.array_compact(F.transform(s, lambda x, i: F.when(
+                ((i > 0) & (s[F.greatest(i - 1, F.lit(0))]["g"] == x["g"])) | ((i < n - 1) & (s[F.least(i + 1, n - 1)]["g"] == x["g"])), x["i"]))))
+
+        return let(ordered, of)
+
+    def covered(positions: Column) -> Column:
         return F.aggregate(
-            F.sort_array(F.filter(twins, lambda i: i.isNotNull())),
+            positions,
             F.struct(F.lit(-3).alias("at"), F.lit(0).alias("n")),
             lambda acc, i: F.struct(i.alias("at"), (acc["n"] + F.least(F.lit(3), i - acc["at"])).alias("n")),
             lambda acc: acc["n"],
         )
 
     def count(g: Column) -> Column:
-        ordered = F.sort_array(F.transform(g, lambda x, i: F.struct(x.alias("g"), i.alias("i"))))
-        return F.when(F.size(F.array_distinct(g)) == F.size(g), F.lit(0)).otherwise(let(ordered, covered))
+        return let(twins(F.sort_array(g)), lambda r: F.when(F.size(r) == 0, F.lit(0)).otherwise(
+            covered(F.when(F.size(r) <= short, looked_up(g, r)).otherwise(by_sorting(g)))))
 
     return let(windows(words), count).cast("long")
 

@@ -19,6 +19,9 @@ ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,12 +43,12 @@ _IS = r"""["']?\x20*[:=]\x20*["']?"""
 #: Kind -> (pattern of head and value, least length of the value), in the order of report. The head may be empty.
 STRONG: dict[str, tuple[str, int]] = {
     "assign": (rf"({_KEYWORD}{_IS})({_VALUE})", 6),
-    "access": (r"()(AKIA[A-Z0-9]+)", 20),
-    "hex": (r"()([0-9a-f]+)", 24),
+    "access": (r"()(AKIA[A-Z0-9]{16,})", 20),
+    "hex": (r"()([0-9a-f]{24,})", 24),
 }
 WEAK: dict[str, tuple[str, int]] = {
     "account": (rf"({_ACCOUNT}{_IS})([A-Za-z0-9@+/_.=-]+)", 3),
-    "mixed": (r"()((?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]{0,200}[0-9])(?=[0-9+/_-]{0,200}[A-Za-z])[A-Za-z0-9+/_-]+)", 16),
+    "mixed": (r"()((?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]{0,200}[0-9])(?=[0-9+/_-]{0,200}[A-Za-z])[A-Za-z0-9+/_-]{16,})", 16),
     "endpoint": (r"""((?<![A-Za-z0-9+.-])[A-Za-z][A-Za-z0-9+.-]{0,31}://)([^\x20\x09-\x0D"'<>]+)""", 1),
 }
 KINDS = [*STRONG, *WEAK]
@@ -73,14 +76,27 @@ def _spans(text: Column, kind: str, pattern: str, least: int) -> Column:
     return F.aggregate(pieces, state, step, lambda a: a["out"])
 
 
-def find_parts(docs: DataFrame) -> DataFrame:
-    """Per row of ``docs``: ``key``, doc_id, ``strong`` and ``weak`` spans. Reads whole texts."""
-    text = text_of()
-    rows = docs.select("doc_id", "text", F.when(F.instr(text, _MARK) > 0, F.translate(text, _MARK, _OTHER)).otherwise(text).alias("__t"))
-    found = {kind: _spans(F.col("__t"), kind, *how) for kind, how in (STRONG | WEAK).items()}
-    return rows.select(
-        row_key("doc_id", "text").alias("key"), "doc_id",
-        F.concat(*[found[k] for k in STRONG]).alias("strong"), F.concat(*[found[k] for k in WEAK]).alias("weak"))
+def find_parts(docs: DataFrame, carry: str | None = None) -> DataFrame:
+    """Per row of ``docs``: ``key`` (null without weak spans), doc_id, ``strong`` and ``weak`` spans. Reads whole texts.
+
+    A pattern runs only over texts that hold one of its fixed words; weak secrets and endpoints need an identifier in
+    their scope, so they are looked for only in texts that may have one. The column ``carry`` goes along.
+    """
+    kept = [carry] if carry else []
+    text, low = F.col("__t"), F.lower("__t")
+    holds = lambda words: reduce(or_, (low.contains(w) for w in words))
+    raw = text_of()
+    rows = docs.select(*kept, "doc_id", "text", F.when(F.instr(raw, _MARK) > 0, F.translate(raw, _MARK, _OTHER)).otherwise(raw).alias("__t"))
+    rows = rows.withColumns({
+        "__assign": holds(("password", "passwd", "secret", "token", "apikey", "api_key")), "__access": text.contains("AKIA"),
+        "__account": holds(("user", "login", "account", "clientid", "client_id", "accesskey", "access_key")), "__hex": F.lit(True),
+    })
+    rows = rows.withColumn("__mixed", F.col("__access") | F.col("__account"))
+    rows = rows.withColumn("__endpoint", F.col("__mixed") & text.contains("://"))
+    none = F.array().cast(f"array<{_SPAN}>")
+    found = {kind: F.when(F.col(f"__{kind}"), _spans(text, kind, *how)).otherwise(none) for kind, how in (STRONG | WEAK).items()}
+    spans = rows.select(*kept, "doc_id", "text", F.concat(*[found[k] for k in STRONG]).alias("strong"), F.concat(*[found[k] for k in WEAK]).alias("weak"))
+    return spans.select(*kept, F.when(F.size("weak") > 0, row_key("doc_id", "text")).alias("key"), "doc_id", "strong", "weak")
 
 
 def link_parts(parts: DataFrame, scope: int) -> DataFrame:
@@ -103,11 +119,13 @@ def link_parts(parts: DataFrame, scope: int) -> DataFrame:
 
 
 def scan(docs: DataFrame, scope: int = 200) -> DataFrame:
-    """One row per row of ``docs``: key, doc_id, ``strong`` and ``added`` spans, each an array of (start, kind number, end)."""
+    """One row per row of ``docs``: key (null where nothing weak was found), doc_id, ``strong`` and ``added`` spans, each an array of (start, kind number, end)."""
     parts = materialise(find_parts(docs), "secret-parts")
-    added = link_parts(parts, scope).withColumnRenamed("key", "__key")
     none = F.array().cast(f"array<{_SPAN}>")
-    return parts.join(added, parts.key == added["__key"], "left").select("key", "doc_id", "strong", F.coalesce("added", none).alias("added"))
+    single = parts.where("key is null").select("key", "doc_id", "strong", none.alias("added"))
+    added = link_parts(parts.where("key is not null"), scope).withColumnRenamed("key", "__key")
+    linked = parts.where("key is not null").join(added, F.col("key") == F.col("__key"), "left")
+    return single.unionByName(linked.select("key", "doc_id", "strong", F.coalesce("added", none).alias("added")))
 
 
 def written(spans: Column) -> Column:
@@ -117,13 +135,20 @@ def written(spans: Column) -> Column:
 
 
 def masked(docs: DataFrame, scope: int = 200, mask: str = "*") -> DataFrame:
-    """``docs`` with every character of a reported span replaced by ``mask``; null texts stay null."""
+    """``docs`` with every character of a reported span replaced by ``mask``; null texts stay null.
+
+    Spans travel with their rows; only rows with weak candidates meet the linked ones, by their key.
+    """
     if len(mask) != 1:
         raise ValueError("mask must be one character, so that offsets stay")
-    found = scan(docs, scope).select("key", F.sort_array(F.concat("strong", "added")).alias("__spans"))
-    found = found.where(F.size("__spans") > 0).dropDuplicates(["key"])
-    keyed = docs.select(F.struct("*").alias("__row"), row_key("doc_id", "text").alias("__key"))
-    joined = keyed.join(found, keyed["__key"] == found["key"], "left")
+    keyed = docs.select(F.struct("*").alias("__row"), "doc_id", "text")
+    parts = find_parts(keyed, carry="__row")
+    linked = link_parts(materialise(parts.drop("__row").where("key is not null").dropDuplicates(["key"]), "secret-parts"), scope)
+    linked = linked.withColumnRenamed("key", "__key")
+    none = F.array().cast(f"array<{_SPAN}>")
+    single = parts.where("key is null").select("__row", "strong")
+    both = parts.where("key is not null").join(linked, F.col("key") == F.col("__key"), "left").select(
+        "__row", F.concat("strong", F.coalesce("added", none)).alias("strong"))
     text = F.col("__row.text").cast("string")
     state = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
@@ -131,7 +156,7 @@ def masked(docs: DataFrame, scope: int = 200, mask: str = "*") -> DataFrame:
         start, end = F.greatest(s["start"], a["at"]), F.greatest(s["end"], a["at"])
         return F.struct(end.alias("at"), F.concat(a["out"], F.substring(text, a["at"] + 1, start - a["at"]), F.repeat(F.lit(mask), end - start)).alias("out"))
 
-    clean = F.aggregate("__spans", state, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
+    clean = F.aggregate(F.sort_array("strong"), state, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
     row = F.col("__row")
-    return joined.select(*[
-        (F.when(F.col("__spans").isNull() | text.isNull(), text).otherwise(clean) if c == "text" else row[c]).alias(c) for c in docs.columns])
+    return single.unionByName(both).select(*[
+        (F.when((F.size("strong") == 0) | text.isNull(), text).otherwise(clean) if c == "text" else row[c]).alias(c) for c in docs.columns])
