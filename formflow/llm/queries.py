@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from formflow.llm import chat, packing, quality, secrets, urls, warc
+from formflow.llm import chat, language, packing, quality, secrets, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -64,6 +64,11 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_pages(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 3 == 1)
+
+
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
