@@ -7,7 +7,7 @@ long as matches outweigh substitutions, and reported if the overlap is long and
 
 Tokens are runs of ASCII letters, digits and non-ASCII characters, A-Z lower-cased, so punctuation and spacing do not matter.
 
-Scale. Training seeds first meet a bitmap of the test seeds, at most ``2 ** MAX_BITS`` bits whatever the benchmark's size;
+Scale. Training seeds first meet a bitmap of the test seeds, at most ``2 ** bitmaps.MAX_BITS`` bits whatever the benchmark's size;
 only seeds that may occur in the benchmark are shuffled, each with its surroundings, so texts never are. The bitmap only
 saves shuffling: the join decides. Test seeds are a written table, so a seed that very many documents share is split.
 
@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from formflow.llm.batches import slices
+from formflow.llm.bitmaps import bitmap_of, held
 from formflow.llm.columns import row_key
 from formflow.llm.hashing import run_hashes, word_hashes
 from formflow.session import materialise
@@ -35,7 +36,6 @@ MASKS = ((1, 2, 4, 5, 7, 8), (0, 2, 3, 5, 6, 8), (0, 1, 3, 4, 6, 7))
 #: Tokens carried on each side of a seed, for verification.
 REACH = 32
 MIN_OVERLAP, MIN_SHARE, PENALTY = 12, 0.8, 2
-MAX_BITS = 24
 
 
 def _seeds(bits: int, bitmap: np.ndarray | None):
@@ -53,8 +53,7 @@ def _seeds(bits: int, bitmap: np.ndarray | None):
                     whole_window = at + SPAN - 1 < (first + per_text)[owner[at]]
                     seeds, at = seeds[whole_window], at[whole_window]
                     if bitmap is not None:
-                        slot = seeds >> np.uint64(64 - bits)
-                        hit = (bitmap[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+                        hit = held(seeds, bits, bitmap)
                         seeds, at = seeds[hit], at[hit]
                     if not len(at):
                         continue
@@ -82,19 +81,6 @@ def seed_table(rows: DataFrame, bits: int = 0, bitmap: np.ndarray | None = None)
     return rows.mapInArrow(_seeds(bits, bitmap), f"seed long, {ids}, {_SEED_COLUMNS}")
 
 
-def bitmap_of(seeds: DataFrame) -> tuple[int, np.ndarray]:
-    """A bitmap of the leading bits of all seeds, sized by their number up to ``2 ** MAX_BITS`` bits."""
-    n = seeds.count()
-    bits = min(MAX_BITS, max(16, int(16 * n).bit_length()))
-    slot = F.shiftrightunsigned("seed", 64 - bits)
-    words = seeds.select(slot.alias("s")).distinct().select(
-        F.shiftrightunsigned("s", 6).alias("w"), F.expr("shiftleft(1L, cast(s & 63L as int))").alias("b"))
-    bitmap = np.zeros(1 << (bits - 6), dtype=np.int64)
-    rows = words.groupBy("w").agg(F.bit_or("b").alias("b")).toPandas()
-    bitmap[rows["w"].to_numpy(dtype=np.int64)] = rows["b"].to_numpy(dtype=np.int64)
-    return bits, bitmap.view(np.uint64)
-
-
 def compare(doc: np.ndarray, item: np.ndarray, common: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, ...]:
     """Overlaps around hits: rows are aligned surroundings, ``common`` says where both sequences have a token.
 
@@ -137,7 +123,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, ids: list[str]) -> Data
     """Per (``ids`` of docs, item_id) the best overlap: overlap and matching tokens, and where it starts in both."""
     items = benchmark.select("item_id", F.col("text").cast("string").alias("text"))
     tests = materialise(seed_table(items), "benchmark-seeds")
-    bits, bitmap = bitmap_of(tests)
+    bits, bitmap = bitmap_of(tests, "seed")
     hits = seed_table(docs.select(*ids, F.col("text").cast("string").alias("text")), bits, bitmap)
     tests = tests.select("seed", "item_id", *[F.col(c).alias(a) for c, a in (
         ("at", "item_at"), ("n_tokens", "item_tokens"), ("from_", "item_from"), ("reach", "item_reach"), ("around", "item_around"))])
