@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from formflow.llm.batches import slices
 from formflow.llm.bitmaps import bitmap_of, held
+from formflow.llm.columns import row_key
 from formflow.llm.components import connected_components
 from formflow.llm.hashing import run_hashes, word_hashes
 from formflow.session import materialise
@@ -254,3 +255,15 @@ def near_duplicates(docs: DataFrame, ids: list[str], order: str, size: int = 5,
     named = materialise(placed.join(smallest, placed.root == smallest["__root"]).select(F.col("print").alias("__print"), "component"), "minhash-components")
     full = rows.where("n > 0").join(named, F.col("print") == F.col("__print")).select(*ids, "n", "print", "component")
     return full.unionByName(rows.where("n = 0").select(*ids, "n", "print", F.col(order).alias("component")))
+
+
+def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates, the one with the smallest doc_id, and its own columns.
+
+    Rows without an id come last. Rows equal in id and text are one document, of which one row stays.
+    """
+    keyed = docs.select(F.struct("*").alias("__row"), "doc_id", "text", row_key("doc_id", "text").alias("__key"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("__key").alias("key"))
+    found = near_duplicates(keyed.select(order.alias("__order"), "text"), ["__order"], "__order", size, percent)
+    kept = materialise(found.where("__order = component").select(F.col("__order.key").alias("__key")).distinct(), "minhash-kept")
+    return keyed.join(kept, "__key", "left_semi").dropDuplicates(["__key"]).select("__row.*")
