@@ -65,7 +65,7 @@ def bundles(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     out, lettered = np.zeros((len(texts), DIM), dtype=np.float32), np.zeros(len(texts), dtype=bool)
     for first in range(0, len(texts), TEXTS_AT_ONCE):
         group = texts[first : first + TEXTS_AT_ONCE]
-        joined = "\n" + "\n".join(t.replace("\n", " ") for t in group) + "\n"
+        joined = "".join("\n" + t.replace("\n", " ") + " " for t in group)
         raw = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         owner = np.cumsum(raw == 10, dtype=np.int32) - 1
         codes = _letters()[raw]

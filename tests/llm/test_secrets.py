@@ -1,0 +1,100 @@
+import hashlib
+import random
+import re
+
+import cases
+from pyspark.sql import functions as F
+
+from formflow.llm import secrets
+
+KEYWORD = "|".join("".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token", "api_?key"))
+
+
+def base(text):
+    text = text or ""
+    spans = [(m.start(), 0, m.end()) for m in re.finditer(rf"""({KEYWORD})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text) if len(m[2]) >= 6]
+    spans += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    spans += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(spans)
+
+
+def written(spans):
+    return ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in spans)
+
+
+TEXTS = [
+    None, "", "password=abcdef", "PassWord : 'abc", "secret: token = abcdefgh", "password=token=abcdefgh", 'api_key"="0123456789abcdef0123456789',
+    "AKIA" + "A" * 15, "AKIA" + "A" * 16, "AKIAAKIA" + "Z" * 20, "x" + "f" * 23 + " " + "0" * 24, "toKen = abcdef", "\x01password=abcdef\x01\x02" + "a" * 30,
+    "é𝒳 apikey=abcdef… é " + "ab12" * 8, "passwd==abcdef", "secret:\tabcdef", "token=abcde token=abcdef",
+]
+
+
+def random_text(seed):
+    rng = random.Random(seed)
+    bits = ["password", "Token", "api_key", "AKIA", "=", ":", " ", '"', "'", "abcdef", "0123456789abcdef", "é", "\n", "Q7", "secret", "\x01"]
+    return "".join(rng.choice(bits) for _ in range(rng.randrange(60)))
+
+
+def test_base_spans_equal_plain_matching(spark):
+    texts = TEXTS + [random_text(s) for s in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in secrets.scan(docs).select("doc_id", secrets.written(F.col("strong")).alias("s")).collect():
+        assert r.s == written(base(texts[r.doc_id])), texts[r.doc_id]
+
+
+def test_registered_columns(spark):
+    from formflow.llm.queries import QUERIES
+
+    out = QUERIES["op3_secret_scan"](spark, "/root/testdata/sf0.001")
+    docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    for r in out.collect():
+        spans = base(docs[r.doc_id])
+        assert r.base_sha256 == hashlib.sha256(written(spans).encode()).hexdigest()
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(s[1] == k for s in spans) for k in range(3))
+        assert {*filter(None, written(spans).split(","))} <= {*r.spans.split(",")}
+
+
+ID, KEY = "AKIA" + "B7" * 8, "wJalrXUtnFEMI7MDENG"
+
+
+def added(spark, text, scope=200):
+    row = secrets.scan(spark.createDataFrame([(1, text)], "doc_id long, text string"), scope).select(secrets.written(F.col("added")).alias("a")).first()
+    return [x.split(":")[0] for x in row.a.split(",") if x]
+
+
+def test_weak_parts_need_their_complement(spark):
+    assert added(spark, f"{KEY} alone") == []
+    assert added(spark, f"{ID} and {KEY}") == ["mixed"]
+    assert added(spark, f"{KEY} and {ID}") == ["mixed"]
+    assert added(spark, f"login: bob, {KEY}") == ["account", "mixed"]
+    assert added(spark, "login: bob, nothing else") == []
+    assert added(spark, f"login: bob {KEY} https://db.example.net/x") == ["account", "mixed", "endpoint"]
+    assert added(spark, f"{ID} https://db.example.net/x") == []
+
+
+def test_scope_is_exact_on_both_sides(spark):
+    for gap in (198, 199, 200, 201, 202, 399, 400, 401):
+        near = gap <= 200
+        assert added(spark, ID + " " * gap + KEY) == (["mixed"] if near else []), gap
+        assert added(spark, " " * 137 + KEY + " " * gap + ID) == (["mixed"] if near else []), gap
+    long = "a1" * 700
+    assert added(spark, ID + " " + long) == ["mixed"]
+    assert added(spark, long + " " + ID) == ["mixed"]
+
+
+def test_many_parts_in_one_text(spark):
+    text = f"{ID} {KEY}\n" * 300
+    assert len(added(spark, text)) == 300
+
+
+def test_masking_and_edge_cases(spark):
+    docs = cases.with_clashes(cases.documents(spark).unionByName(spark.createDataFrame([
+        (9, f"before password=abcdef0123 é {ID} {KEY} after", "en", "s", 1), (9, f"before password=abcdef0123 é {ID} {KEY} after", "en", "s", 1)], cases.SCHEMA)))
+    out = secrets.masked(docs)
+    assert out.columns == docs.columns and out.count() == docs.count()
+    texts = sorted(r.text or "" for r in out.where("doc_id = 9").collect())
+    assert texts == [f"before {'*' * 19} é {'*' * 20} {'*' * 19} after"] * 2
+    assert cases.rows(out.where("doc_id is null or doc_id < 9")) == cases.rows(docs.where("doc_id is null or doc_id < 9"))
+    assert secrets.scan(docs).count() == docs.count()
+    empty = cases.documents(spark, [])
+    assert secrets.scan(empty).isEmpty() and secrets.masked(empty).isEmpty()
