@@ -3,7 +3,8 @@
 A mask looks at some of ``SPAN`` consecutive tokens and ignores the others. Each position is ignored by one of the masks,
 so any window with one substituted token, and many with more, still has a seed equal to that of the original. Seeds of test
 items and of training documents are joined; around each hit both token sequences are compared without gaps, extended as
-long as matches outweigh substitutions, and reported if the overlap is long and similar enough.
+long as matches outweigh substitutions, and reported if ``MIN_OVERLAP`` tokens (all of a shorter item's) and a share of
+``MIN_SHARE`` of the overlap are equal.
 
 Tokens are runs of ASCII letters, digits and non-ASCII characters, A-Z lower-cased, so punctuation and spacing do not matter.
 
@@ -84,7 +85,7 @@ def seed_table(rows: DataFrame, bits: int = 0, bitmap: np.ndarray | None = None)
 def compare(doc: np.ndarray, item: np.ndarray, common: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, ...]:
     """Overlaps around hits: rows are aligned surroundings, ``common`` says where both sequences have a token.
 
-    Gives accepted, length, matching tokens, tokens before the seed.
+    ``least`` tokens must match. Gives accepted, length, matching tokens, tokens before the seed.
     """
     equal = (doc == item) & common
     gain = np.where(common, np.where(equal, 1, -PENALTY), -10**6)
@@ -96,9 +97,11 @@ def compare(doc: np.ndarray, item: np.ndarray, common: np.ndarray, least: np.nda
 
     left, right = extent(gain[:, REACH - 1 :: -1]), extent(gain[:, REACH + SPAN :])
     place = np.arange(doc.shape[1])
-    covered = (place >= REACH - left[:, None]) & (place < REACH + SPAN + right[:, None])
-    matching, length = (equal & covered).sum(axis=1), left + SPAN + right
-    return (length >= least) & (matching >= MIN_SHARE * length), length, matching, left
+    agreed = equal & (place >= REACH - left[:, None]) & (place < REACH + SPAN + right[:, None])
+    # An overlap starts and ends with equal tokens, also where the mask ignored the seed's ends.
+    first, last = agreed.argmax(axis=1), doc.shape[1] - 1 - agreed[:, ::-1].argmax(axis=1)
+    matching, length = agreed.sum(axis=1), last - first + 1
+    return (matching >= least) & (matching >= MIN_SHARE * length), length, matching, REACH - first
 
 
 def _verify(ids: list[str]):
