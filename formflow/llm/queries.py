@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from formflow.llm import chat, decontamination, language, minhash, packing, quality, secrets, suffixes, urls, warc
+from formflow.llm import chat, decontamination, language, minhash, packing, quality, secrets, sql, suffixes, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,16 +21,27 @@ URL_RULES = [
 ]
 
 
-def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+#: What the two turns of conversation -1 say: control strings as plain text.
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+def query(oracle: str | None = None):
+    """Register ``fn(spark, sf_dir)`` with the SQL that gives the same rows."""
+
+    def add(fn):
+        QUERIES[fn.__name__] = fn
+        if oracle:
+            ORACLES[fn.__name__] = oracle
+        return fn
+
+    return add
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@query
+@query()
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -41,12 +52,12 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-@query
+@query()
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-@query
+@query()
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents"))
     number = lambda kind: F.size(F.filter("strong", lambda s: s["kind"] == secrets.KINDS.index(kind))).cast("long")
@@ -56,44 +67,43 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         secrets.written(F.concat("strong", "added")).alias("spans"))
 
 
-@query
+@query(sql.chat_formatting(CONTROL_TEXT))
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    said = "</s>[INST] ok [/INST]"
-    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    extra = spark.createDataFrame([(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)], "conv_id long, turn long, role string, text string")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     return chat.digests(chat.format_conversations(rows, tokenizer_path("byte_bpe_50k.json")))
 
 
-@query
+@query(sql.url_filter(URL_RULES))
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_pages(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
-@query
+@query()
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 3 == 1)
 
 
-@query
+@query(sql.quality_rules())
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-@query
+@query()
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffixes.repeated_spans(table(spark, sf_dir, "documents"))
     removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), "kept_sha256")
 
 
-@query
+@query(sql.minhash_near_dedup())
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(table(spark, sf_dir, "documents"), ["doc_id"], "doc_id", size=4)
     return found.select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), (F.col("doc_id") == F.col("component")).alias("kept"))
 
 
-@query
+@query(sql.warc())
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = warc.write_archives(table(spark, sf_dir, "pages"))
     return warc.read_archives(spark, archives, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
