@@ -6,13 +6,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from formflow.functions import completion_field, is_blank, row_id
+from formflow.functions import completion_field, is_blank, reshuffled, row_id
 from formflow.schemas import EAV_COLUMNS, ExportLayout
 
 MULTI = "___"
-# Up to this many output columns one CASE per column (one shuffle) is at least as
-# fast as the pivot operator (two shuffles); 81 columns were measured equal.
-CONDITIONAL_PIVOT_MAX = 100
 
 
 def _keys(wide: DataFrame, layout: ExportLayout) -> tuple[list[Column], list[str]]:
@@ -72,9 +69,11 @@ def explode_eav(lines: DataFrame, layout: ExportLayout = ExportLayout(), column:
     """EAV rows of landed JSON objects, one object per text row, at any width.
 
     Parsing to a map only emits the keys an object holds and never infers types,
-    so leading zeros survive and new form fields need no schema change.
+    so leading zeros survive and new form fields need no schema change. Blank lines
+    are skipped; any other line that is no JSON object is an error, never lost.
     """
-    parsed = lines.select(F.from_json(F.col(column), "map<string,string>").alias("cells"))
+    filled = lines.filter(F.trim(column) != "")
+    parsed = filled.select(F.from_json(F.col(column), "map<string,string>", {"mode": "FAILFAST"}).alias("cells"))
     used = [layout.record, *layout.optional.values()]
     keys = [F.col("cells")[layout.record].alias("record")]
     keys += [F.col("cells")[src].alias(name) for name, src in layout.optional.items()]
@@ -95,7 +94,7 @@ def promote_field(
     last = F.max_by(value, F.col(order_col)) if order_col else F.max(value)
     promoted = eav.filter(F.col("field_name") == field).groupBy("record").agg(last.alias("_promoted"))
     rest = eav.filter(F.col("field_name") != field).drop(out)
-    joined = rest.join(promoted, "record", "left")
+    joined = rest.join(reshuffled(promoted, "record"), "record", "left")
     return joined.withColumn(out, F.coalesce(F.col("_promoted"), F.lit(default))).drop("_promoted")
 
 
@@ -105,15 +104,14 @@ def pivot_fields(
 ) -> DataFrame:
     """One row per key, one column per field holding its largest value (NULL when absent).
 
-    ``keep_empty`` keeps keys that have none of the fields. Both forms aggregate
-    on the map side first, so a key with very many rows shrinks before it moves.
+    ``keep_empty`` keeps keys that have none of the fields. The pivot first takes
+    the largest value per key and field, on the map side too, then places each by
+    its name: work grows with the rows, not with rows times columns.
     """
     name, value = F.col(name_col), F.col(value_col)
     rows = eav.select(*keys, name_col, value_col)
     if not keep_empty:
         rows = rows.filter(name.isin(list(fields)))
-    if len(fields) <= CONDITIONAL_PIVOT_MAX:
-        return rows.groupBy(*keys).agg(*[F.max(F.when(name == f, value)).alias(f) for f in fields])
     return rows.groupBy(*keys).pivot(name_col, list(fields)).agg(F.max(value))
 
 

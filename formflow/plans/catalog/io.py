@@ -35,6 +35,17 @@ def src_json_flat_explode(spark, d):
     return reshape.decode_multiselect(sources.read_flat_json(spark, _land_flat(spark, d))).select(*EAV4)
 
 
+@query("src_json_bad_lines", """
+select count(*) as lines, cast(sum(case when o_orderkey % 7 = 3 then 1 else 0 end) as bigint) as broken from orders""")
+def src_json_bad_lines(spark, d):
+    """A landed file in which every seventh object is cut off: counted, not lost."""
+    path = work_dir(spark, "cut-json")
+    line = F.to_json(F.struct("o_orderkey", "o_orderstatus"))
+    cut = F.when(F.col("o_orderkey") % 7 == 3, F.expr("left(value, length(value) - 1)")).otherwise(F.col("value"))
+    table(spark, d, "orders").select(line.alias("value"), "o_orderkey").select(cut.alias("value")).write.text(path)
+    return sources.bad_json_lines(spark.read.text(path))
+
+
 @query("src_partitioned_parts", oracle("select record, site_id, field_name, value from ox_eav"))
 def src_partitioned_parts(spark, d):
     path = work_dir(spark, "eav-parts")

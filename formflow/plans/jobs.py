@@ -41,8 +41,13 @@ def stage_case_project(
     return StagedProject(staged, load.warnings, quality.load_counts(staged, eav, table).first())
 
 
-def stage_repeat_project(eav: DataFrame, path: str, run_ts: datetime) -> DataFrame:
-    """Repeating forms: the record is the case; one row per key, staged with its creation time."""
+def stage_repeat_project(eav: DataFrame, path: str, run_ts: datetime) -> DataFrame | None:
+    """Repeating forms: the record is the case; one row per key, staged with its creation time.
+
+    An empty export is a no-op, here and in the loaders below: the staging table stays, and None is returned.
+    """
+    if eav.isEmpty():
+        return None
     keys = ["case_id", "repeat_instrument", "repeat_instance", "field_name", "field_value"]
     rows = eav.select(
         F.col("record").alias("case_id"), "repeat_instrument", "repeat_instance", "field_name", F.col("value").alias("field_value"),
@@ -50,8 +55,10 @@ def stage_repeat_project(eav: DataFrame, path: str, run_ts: datetime) -> DataFra
     return overwrite_staging(rows.withColumns({"id": row_id(*keys), "created_on": F.lit(run_ts)}), path)
 
 
-def stage_packet_project(eav: DataFrame, path: str, case_field: str, run_ts: datetime) -> DataFrame:
+def stage_packet_project(eav: DataFrame, path: str, case_field: str, run_ts: datetime) -> DataFrame | None:
     """Packets: case id of the whole packet, rows with an id of the wrong length left out."""
+    if eav.isEmpty():
+        return None
     rows = quality.keep_valid_length(enrich.packet_map(eav, case_field), "case_id").select(
         F.col("record").alias("packet_id"), "case_id", "repeat_instrument", "repeat_instance", "field_name",
         F.col("value").alias("field_value"), F.lit(run_ts).alias("created_on"),
@@ -59,8 +66,10 @@ def stage_packet_project(eav: DataFrame, path: str, case_field: str, run_ts: dat
     return overwrite_staging(rows, path)
 
 
-def stage_abstraction_project(eav: DataFrame, path: str, site_field: str, run_ts: datetime) -> DataFrame:
+def stage_abstraction_project(eav: DataFrame, path: str, site_field: str, run_ts: datetime) -> DataFrame | None:
     """Abstraction forms: the record is the case, the site is the value of one field."""
+    if eav.isEmpty():
+        return None
     rows = enrich.left_lookup(eav, site_field, "site_id").select(
         "site_id", F.col("record").alias("case_id"), "field_name", F.col("value").alias("field_value")
     ).distinct()
@@ -70,9 +79,15 @@ def stage_abstraction_project(eav: DataFrame, path: str, site_field: str, run_ts
 
 def refresh_snapshot(
     snapshot: Snapshot, staging: DataFrame, keys: Sequence[str], run_ts: datetime, blank_is_null: Sequence[str] = (),
+    allow_empty: bool = False,
 ) -> dict[str, int]:
-    """Bring a soft-delete mart up to its staging table; returns rows per action."""
+    """Bring a soft-delete mart up to its staging table; returns rows per action.
+
+    An empty staging table would mark every row deleted: it is refused unless ``allow_empty`` says that this is meant.
+    """
     spark = staging.sparkSession
+    if not allow_empty and staging.isEmpty():
+        raise ValueError("the staging table is empty; pass allow_empty=True to mark all rows deleted")
     current = snapshot.current(spark)
     if current is None:
         first = upsert.snapshot_initial(staging, F.lit(run_ts)).withColumn("_action", F.lit(upsert.INSERT))
@@ -86,10 +101,12 @@ def refresh_snapshot(
 def run_upsert(
     snapshot: Snapshot, source: DataFrame, schema: StructType, spec: MergeSpec, run_ts: datetime, *,
     missing_keys: Sequence[str], scope: str, duplicate_keys: Sequence[str] | None = None,
-    duplicate_order: Sequence[str] = (), stamps: Mapping[str, str] | None = None,
+    duplicate_order: Sequence[str] = (), stamps: Mapping[str, str] | None = None, written: bool = False,
 ) -> Row:
     """One upsert of an operational table as a new version; returns the affected-row counts.
 
+    ``written`` says that the source is a written table, which several upserts may share.
+
     Any failure leaves the current version in place and is raised.
     """
     spark = source.sparkSession
@@ -98,7 +115,7 @@ def run_upsert(
         target = spark.createDataFrame([], schema)
     new = upsert.apply_upsert(
         target, source, spec, missing_keys=missing_keys, scope=scope, duplicate_keys=duplicate_keys,
-        duplicate_order=duplicate_order, stamps=stamps,
+        duplicate_order=duplicate_order, stamps=stamps, written=written,
     )
     snapshot.publish(new, run_ts)
     return upsert.action_counts(snapshot.changes(spark)).first()

@@ -26,8 +26,6 @@ def build_session(app: str = "formflow", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        # Joins whose partitions turn out small hash instead of sorting both sides.
-        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
         "spark.sql.session.timeZone": "UTC",
         **conf,
     }

@@ -18,23 +18,34 @@ def read_eav_json(spark: SparkSession, path: str, layout: ExportLayout = ExportL
     """Landed EAV-mode export, everything as text.
 
     One object per line is splittable; ``array_files`` reads files that hold one
-    JSON array each (one task per file).
+    JSON array each (one task per file). A broken object fails the read.
     """
     landed = "".join(f", `{src}` string" for src in layout.optional.values())
     schema = f"`{layout.record}` string{landed}, field_name string, value string"
-    raw = spark.read.schema(schema).option("multiLine", array_files).json(path)
+    raw = spark.read.schema(schema).option("multiLine", array_files).option("mode", "FAILFAST").json(path)
     renamed = {"record": layout.record, **layout.optional, "field_name": "field_name", "value": "value"}
     return raw.select(*[F.col(f"`{src}`").alias(out) for out, src in renamed.items()])
 
 
 def read_flat_json(spark: SparkSession, path: str, layout: ExportLayout = ExportLayout()) -> DataFrame:
-    """Landed flat-mode export (one JSON object per line) as EAV rows, before multi-select decode."""
+    """Landed flat-mode export (one JSON object per line) as EAV rows, before multi-select decode.
+
+    A line that is no JSON object fails the read; ``bad_json_lines`` counts such lines beforehand.
+    """
     return explode_eav(spark.read.text(path), layout)
 
 
+def bad_json_lines(lines: DataFrame, column: str = "value") -> DataFrame:
+    """One row: non-blank lines, and how many of them are no JSON object."""
+    line = F.col(column)
+    broken = F.from_json(line, "map<string,string>").isNull()
+    return lines.filter(F.trim(line) != "").agg(
+        F.count(F.lit(1)).alias("lines"), F.count_if(broken).alias("broken"))
+
+
 def record_ids(spark: SparkSession, path: str, layout: ExportLayout = ExportLayout()) -> DataFrame:
     """Record ids only; the schema keeps the parser from building any other column."""
-    rows = spark.read.schema(f"`{layout.record}` string").json(path)
+    rows = spark.read.schema(f"`{layout.record}` string").option("mode", "FAILFAST").json(path)
     return rows.select(F.col(f"`{layout.record}`").alias("record")).distinct()
 
 
@@ -50,7 +61,7 @@ def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
     file; files of one directory follow each other by name. The offsets come from
     one row per file.
     """
-    raw = spark.read.options(**_CSV, multiLine=True).csv(path)
+    raw = spark.read.options(**_CSV, multiLine=True, mode="FAILFAST").csv(path)
     for field in DICTIONARY_CSV.fields:
         if field.name not in raw.columns:
             raw = raw.withColumn(field.name, F.lit(None).cast("string"))
@@ -64,8 +75,8 @@ def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_report_names(spark: SparkSession, path: str) -> DataFrame:
-    """Report-name lookup with its declared types; the text NULL is a NULL."""
-    return spark.read.options(**_CSV, nullValue="NULL").schema(REPORT_NAMES).csv(path)
+    """Report-name lookup with its declared types; the text NULL is a NULL, an unreadable line an error."""
+    return spark.read.options(**_CSV, nullValue="NULL", mode="FAILFAST").schema(REPORT_NAMES).csv(path)
 
 
 def is_date_like(name: str) -> bool:
@@ -75,9 +86,11 @@ def is_date_like(name: str) -> bool:
 def read_csv_coerced(spark: SparkSession, path: str, load_stamp: str = "etl_load_dt") -> DataFrame:
     """CSV with cleaned header names; date-like columns become timestamps, unreadable ones NULL.
 
+    A line with too few or too many cells fails the read.
+
     The load stamp loses its zone offset and keeps its wall-clock time.
     """
-    raw = spark.read.options(**_CSV, multiLine=False).csv(path)
+    raw = spark.read.options(**_CSV, multiLine=False, mode="FAILFAST").csv(path)
     df = raw.toDF(*[clean_header(c) for c in raw.columns])
     cols = []
     for c in df.columns:
@@ -115,20 +128,6 @@ def union_projects(projects: Mapping[str, DataFrame], default_sites: Mapping[str
     return out
 
 
-def spread(df: DataFrame, few: int = 4, most: int = 64) -> DataFrame:
-    """Use several cores on an input of very few tasks, such as one unsplittable file.
-
-    One JSON array, one multi-line CSV or one parquet row group is read by one
-    task (further byte ranges of it are empty), and so is everything up to the
-    first shuffle. Only then are the rows, still narrow, dealt out: at most
-    ``few`` scan tasks, so at most that many splits of data move. Larger inputs
-    are left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    tasks = df.rdd.getNumPartitions()
-    return df.repartition(min(cores, most)) if tasks <= few and tasks < cores else df
-
-
 def read_jdbc(spark: SparkSession, url: str, table: str, key: str, bounds: Sequence[int], partitions: int) -> DataFrame:
     """Database table or view, read by ``partitions`` tasks over ranges of a numeric key."""
     return (

@@ -129,3 +129,52 @@ def test_work_dir_uses_the_cluster_folder(spark):
     with pytest.raises(ValueError):
         session.work_dir(cluster(None), "x")
     assert session.work_dir(spark, "x") != session.work_dir(spark, "x")
+
+
+def test_empty_exports_change_nothing(spark, tmp_path):
+    eav = spark.createDataFrame([("r1", "s", None, None, "f", "x"), ("r2", "s", None, None, "case_id", "ABCD12345")],
+                                "record string, site_id string, repeat_instrument string, repeat_instance string, field_name string, value string")
+    loaders = {
+        "repeat": lambda e, p: jobs.stage_repeat_project(e, p, NOW), "packet": lambda e, p: jobs.stage_packet_project(e, p, "case_id", NOW),
+        "abstraction": lambda e, p: jobs.stage_abstraction_project(e, p, "site", NOW),
+        "case": lambda e, p: jobs.stage_case_project(e, p, "t").staging,
+    }
+    for name, load in loaders.items():
+        path = str(tmp_path / name)
+        before = load(eav, path).count()
+        assert load(eav.limit(0), path) is None
+        assert spark.read.parquet(path).count() == before > 0, name
+
+
+def test_an_empty_staging_table_does_not_empty_the_mart(spark, tmp_path):
+    snap = sinks.Snapshot(str(tmp_path / "mart"))
+    staging = spark.createDataFrame([("a", "1")], "id string, case_id string")
+    jobs.refresh_snapshot(snap, staging, ["case_id"], NOW)
+    with pytest.raises(ValueError, match="empty"):
+        jobs.refresh_snapshot(snap, staging.limit(0), ["case_id"], NOW)
+    assert rows(snap.current(spark).select("id", "is_deleted")) == [("a", 0)]
+    assert jobs.refresh_snapshot(snap, staging.limit(0), ["case_id"], NOW, allow_empty=True) == {"delete": 1}
+
+
+def test_broken_lines_fail_or_are_counted(spark, tmp_path):
+    path = str(tmp_path / "lines")
+    spark.createDataFrame([('{"record": "1", "f": "x"}',), ('{"record": "2", "f": ',), ("",), ("[1]",)], "value string").coalesce(1).write.text(path)
+    layout = ExportLayout()
+    assert rows(sources.bad_json_lines(spark.read.text(path))) == [(3, 2)]
+    for read in (lambda: sources.read_flat_json(spark, path, layout), lambda: sources.read_eav_json(spark, path, layout), lambda: sources.record_ids(spark, path, layout)):
+        with pytest.raises(Exception, match="(?i)malformed"):
+            read().collect()
+    csv = tmp_path / "short.csv"
+    csv.write_text("a,b\n1,2\n3\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        sources.read_csv_coerced(spark, str(csv)).collect()
+
+
+def test_sequences_of_any_width(spark):
+    from formflow.operators import ordered
+
+    step = 5 * 10**17
+    df = spark.createDataFrame([(-(2**63) + i * step, i) for i in range(36)], "at long, i int")
+    for size in (1, 5, 100_000):
+        out = ordered.ordered_columns(df, "at", counts={"n": F.lit(True)}, fills={"even": F.when(F.col("i") % 2 == 0, F.col("i"))}, block_rows=size)
+        assert rows(out.select("i", "n", "even"), "i") == [(i, i + 1, i - i % 2) for i in range(36)]
