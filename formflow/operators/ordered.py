@@ -3,8 +3,9 @@
 Row numbers, running counts and fill-down depend on the order of all rows. A
 window without PARTITION BY (or over one hot key) would run in a single task, so
 the rows are cut into blocks of consecutive order values: an ordinary window
-works inside each block, and a summary of at most ``blocks`` rows per key carries
-the state from one block to the next.
+works inside each block, and a summary of at most one row per block and key
+carries the state from one block to the next. The number of blocks follows the
+number of rows, ``BLOCK_ROWS`` to a block on average.
 
 ``order_col`` is an integer ingest sequence without ties.
 """
@@ -15,21 +16,25 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-BLOCKS = 256
+BLOCK_ROWS = 100_000
 
 
-def with_block(df: DataFrame, order_col: str, blocks: int = BLOCKS) -> DataFrame:
-    """Add ``_block``: equal-width ranges of the sequence, from a scalar subquery on its bounds."""
+def with_block(df: DataFrame, order_col: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Add ``_block``: equal-width ranges of the sequence, from a scalar subquery on its bounds and size.
+
+    Decimal arithmetic keeps sequences of any 64-bit range from overflowing.
+    """
     order = F.col(order_col).cast("bigint")
-    bounds = df.agg(F.struct(F.min(order).alias("lo"), F.max(order).alias("hi"))).scalar()
-    width = bounds["hi"] - bounds["lo"] + 1
-    return df.withColumn("_block", F.floor((order - bounds["lo"]) * F.lit(blocks) / width).cast("int"))
+    wide = lambda c: c.cast("decimal(20,0)")
+    bounds = df.agg(F.struct(F.min(order).alias("lo"), F.max(order).alias("hi"), F.count(order).alias("n"))).scalar()
+    blocks = F.ceil(bounds["n"] / block_rows)
+    width = F.ceil((wide(bounds["hi"]) - wide(bounds["lo"]) + 1) / F.greatest(blocks, F.lit(1)))
+    return df.withColumn("_block", F.floor((wide(order) - wide(bounds["lo"])) / width).cast("bigint"))
 
 
 def _attach(blocked: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
     if not keys:
-        # At most ``blocks`` rows, whatever the input size.
-        return blocked.join(F.broadcast(carry), "_block")
+        return blocked.join(carry, "_block")
     on = blocked["_block"] == carry["_block"]
     for k in keys:
         on = on & blocked[k].eqNullSafe(carry[k])
@@ -42,7 +47,7 @@ def _before(keys: Sequence[str]):
 
 def ordered_columns(
     df: DataFrame, order_col: str, *, fills: Mapping[str, Column] | None = None, counts: Mapping[str, Column] | None = None,
-    keys: Sequence[str] = (), blocks: int = BLOCKS,
+    keys: Sequence[str] = (), block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Several order-dependent columns over one blocking of the rows.
 
@@ -57,7 +62,7 @@ def ordered_columns(
         **{f"_v_{c}": v for c, v in fills.items()},
         **{f"_n_{c}": F.when(cond, 1).otherwise(0) for c, cond in counts.items()},
     })
-    blocked = with_block(rows, order_col, blocks)
+    blocked = with_block(rows, order_col, block_rows)
     summary = blocked.groupBy(*keys, "_block").agg(
         *[F.max_by(f"_v_{c}", F.when(F.col(f"_v_{c}").isNotNull(), F.col(order_col))).alias(f"_v_{c}") for c in fills],
         *[F.sum(f"_n_{c}").alias(f"_n_{c}") for c in counts],
@@ -77,18 +82,18 @@ def ordered_columns(
     return out.drop("_block", *[f"_v_{c}" for c in fills], *[f"_n_{c}" for c in counts], *[f"_c_{c}" for c in names])
 
 
-def row_number(df: DataFrame, order_col: str, out: str = "sequence_id", blocks: int = BLOCKS) -> DataFrame:
+def row_number(df: DataFrame, order_col: str, out: str = "sequence_id", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Dense number 1..n in sequence order."""
-    return ordered_columns(df, order_col, counts={out: F.lit(True)}, blocks=blocks)
+    return ordered_columns(df, order_col, counts={out: F.lit(True)}, block_rows=block_rows)
 
 
-def running_count(df: DataFrame, order_col: str, condition: Column, out: str, blocks: int = BLOCKS) -> DataFrame:
+def running_count(df: DataFrame, order_col: str, condition: Column, out: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Number of rows up to and including this one for which ``condition`` holds."""
-    return ordered_columns(df, order_col, counts={out: condition}, blocks=blocks)
+    return ordered_columns(df, order_col, counts={out: condition}, block_rows=block_rows)
 
 
 def fill_down(
-    df: DataFrame, order_col: str, value: Column, out: str, keys: Sequence[str] = (), blocks: int = BLOCKS,
+    df: DataFrame, order_col: str, value: Column, out: str, keys: Sequence[str] = (), block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Last non-NULL ``value`` up to and including this row, per key."""
-    return ordered_columns(df, order_col, fills={out: value}, keys=keys, blocks=blocks)
+    return ordered_columns(df, order_col, fills={out: value}, keys=keys, block_rows=block_rows)
