@@ -105,3 +105,14 @@ def _as_text(field) -> Column:
         # A plain decimal number: Spark's own cast would print 1.23456785E7.
         return F.rtrim(F.rtrim(F.format_string("%.6f", c), F.lit("0")), F.lit("."))
     return c.cast("string")
+
+
+def reshuffled(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` (one row per key, from an aggregate) made to shuffle again for the join that follows.
+
+    An aggregate's own partitioning would serve the join, but AQE splits a hot
+    key only where both sides of a join come straight from shuffles made for it.
+    The keys keep their values; the largest of a value and itself only hides the
+    partitioning. What moves again is one row per key.
+    """
+    return df.withColumns({k: F.greatest(F.col(k), F.col(k)) for k in keys})

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from formflow.functions import IdRule, matches_pattern
+from formflow.functions import IdRule, matches_pattern, reshuffled
 
 
 def record_keys(eav: DataFrame, case_field: str, catchment_prefix: str) -> DataFrame:
@@ -32,7 +32,7 @@ def enrich_keys(eav: DataFrame, case_field: str = "case_id", catchment_prefix: s
     rows only grows the streamed side, which AQE can split.
     """
     keys = record_keys(eav, case_field, catchment_prefix).fillna("", ["case_id", "catchment_id"])
-    return eav.join(keys, ["record", "site_id"])
+    return eav.join(reshuffled(keys, "record", "site_id"), ["record", "site_id"])
 
 
 def count_unkeyed(eav: DataFrame, case_field: str = "case_id", catchment_prefix: str = "catchment_id") -> DataFrame:
@@ -60,7 +60,7 @@ def left_lookup(eav: DataFrame, field: str, out: str) -> DataFrame:
 def packet_map(eav: DataFrame, field: str = "case_id", out: str = "case_id") -> DataFrame:
     """Case id of the whole packet: largest value per record, '' when absent, trimmed."""
     found = eav.filter(F.col("field_name") == field).groupBy("record").agg(F.max("value").alias("_found"))
-    joined = eav.drop(out).join(found, "record", "left")
+    joined = eav.drop(out).join(reshuffled(found, "record"), "record", "left")
     return joined.withColumn(out, F.trim(F.coalesce(F.col("_found"), F.lit("")))).drop("_found")
 
 
@@ -73,7 +73,7 @@ def exclude_invalid_reports(
     keeps sites apart.
     """
     bad = rows.filter(~rule(F.col(id_col))).select(*scope).distinct()
-    return rows.join(bad, list(scope), "left_anti")
+    return rows.join(reshuffled(bad, *scope), list(scope), "left_anti")
 
 
 def invalid_digest(rows: DataFrame, rule: IdRule = matches_pattern(), id_col: str = "case_id") -> DataFrame:

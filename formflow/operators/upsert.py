@@ -19,7 +19,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from formflow.functions import null_safe_key
+from formflow.functions import null_safe_key, reshuffled
 from formflow.session import materialise
 
 KEEP, UPDATE, INSERT = "keep", "update", "insert"
@@ -72,7 +72,8 @@ def split(df: DataFrame, condition: Column | str | None) -> tuple[DataFrame, Dat
 def unique_source(source: DataFrame, key: Column, alias: str = "_key") -> DataFrame:
     """One row per key with the source row in ``s``; two rows for one key fail the job.
 
-    The check rides on the shuffle the join needs anyway.
+    The check stands around the key. That hides the aggregate's partitioning, so the
+    join shuffles this side again, one row per key, and AQE can split a hot key.
     """
     grouped = source.select(key.alias(alias), F.struct("*").alias("s")).groupBy(alias).agg(
         F.count(F.lit(1)).alias("_n"), F.any_value("s").alias("s")
@@ -134,7 +135,7 @@ def latest_flag(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: s
     key = null_safe_key(*keys)
     rank = F.struct(*order)
     latest = df.groupBy(key.alias("_key")).agg(F.max(rank).alias("_latest"))
-    joined = df.withColumn("_k", key).join(latest, F.col("_k") == F.col("_key"))
+    joined = df.withColumn("_k", key).join(reshuffled(latest, "_key"), F.col("_k") == F.col("_key"))
     return joined.withColumn(out, rank == F.col("_latest")).drop("_k", "_key", "_latest")
 
 
@@ -171,7 +172,7 @@ def deactivate_missing(
     key = null_safe_key(*keys)
     if not null_safe:
         source = source.filter(_all_set(keys))
-    present = source.select(key.alias("_key")).distinct()
+    present = reshuffled(source.select(key.alias("_key")).distinct(), "_key")
     joined = inside.withColumn("_k", key).join(present, F.col("_k") == F.col("_key"), "left")
     gone = F.col("_key").isNull()
     values = {active_col: F.lit(INACTIVE_MISSING), **{c: F.expr(e) for c, e in (stamps or {}).items()}}
@@ -188,7 +189,7 @@ def deactivate_missing(
 def missing_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows with no source row of the same key (NULL-safe anti join)."""
     key = null_safe_key(*keys)
-    present = source.select(key.alias("_key")).distinct()
+    present = reshuffled(source.select(key.alias("_key")).distinct(), "_key")
     return target.withColumn("_key", key).join(present, "_key", "left_anti").drop("_key")
 
 
@@ -207,14 +208,16 @@ def action_counts(versioned: DataFrame) -> DataFrame:
 def apply_upsert(
     target: DataFrame, source: DataFrame, spec: MergeSpec, *, missing_keys: Sequence[str], scope: str,
     duplicate_keys: Sequence[str] | None = None, duplicate_order: Sequence[str] = (), stamps: Mapping[str, str] | None = None,
+    written: bool = False,
 ) -> DataFrame:
     """Merge, then deactivate older duplicates, then rows missing from the source.
 
     ``missing_keys`` may differ from the merge keys. The source is written once
-    and read by every step; so is the result of each step, because the next one
+    and read by every step (``written``: it is a written table already, as when
+    two targets share it); so is the result of each step, because the next one
     reads it more than once.
     """
-    source = materialise(source, "upsert-source")
+    source = source if written else materialise(source, "upsert-source")
     out = materialise(merge(target, source, spec), "merged")
     if duplicate_keys:
         out = materialise(deactivate_duplicates(out, duplicate_keys, duplicate_order, scope), "deduplicated")
@@ -240,7 +243,7 @@ def snapshot_initial(source: DataFrame, run_ts: Column) -> DataFrame:
 def snapshot_deleted(target: DataFrame, source: DataFrame, keys: Sequence[str], blank_is_null: Sequence[str] = ()) -> DataFrame:
     """Live target rows that no longer exist in the source."""
     key = null_safe_key(*keys, blank_is_null=blank_is_null)
-    present = source.select(key.alias("_key")).distinct()
+    present = reshuffled(source.select(key.alias("_key")).distinct(), "_key")
     live = target.filter(F.col("is_deleted") == 0)
     return live.withColumn("_key", key).join(present, "_key", "left_anti").drop("_key")
 
