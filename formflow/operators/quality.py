@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -150,3 +151,30 @@ def run_checks(checks: Mapping[str, DataFrame]) -> DataFrame:
     if out is None:
         raise ValueError("no checks given")
     return out.withColumn("passed", (F.col("failures") == 0).cast(T.IntegerType()))
+
+
+@dataclass(frozen=True)
+class Declared:
+    """A declared test: rows that meet ``failing`` (SQL) fail it. Over ``warn_after`` and ``error_after`` failures it warns or fails."""
+
+    name: str
+    failing: str
+    warn_after: int = 0
+    error_after: int | None = 0
+
+
+def declared_tests(df: DataFrame, tests: Sequence[Declared], unique: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """All declared tests of a table: (test, failures, status), status being pass, warn or error.
+
+    The row tests are counted in one scan; each ``unique`` key list costs one
+    aggregate, whose failures are the keys that occur more than once.
+    """
+    status = lambda n, t: F.when(n > t.error_after, "error").when(n > t.warn_after, "warn").otherwise("pass") if t.error_after is not None else (
+        F.when(n > t.warn_after, "warn").otherwise("pass"))
+    counts = df.agg(*[F.count_if(F.expr(t.failing)).alias(f"n{i}") for i, t in enumerate(tests)])
+    cells = [F.struct(F.lit(t.name).alias("test"), F.col(f"n{i}").alias("failures"), status(F.col(f"n{i}"), t).alias("status")) for i, t in enumerate(tests)]
+    out = counts.select(F.inline(F.array(*cells)))
+    for name, keys in (unique or {}).items():
+        n = F.count(F.lit(1))
+        out = out.unionByName(duplicate_keys(df, keys).agg(n.alias("failures"), F.when(n > 0, "error").otherwise("pass").alias("status")).withColumn("test", F.lit(name)))
+    return out

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from formflow.operators import dictionary
-from formflow.plans.fixtures import RUN_DATE, fixture, oracle
+from formflow.plans import views
+from formflow.plans.fixtures import RUN_DATE, RUN_TS, fixture, oracle
 from formflow.plans.registry import query
 from formflow.session import work_dir
 from formflow.sources import read_dictionary
@@ -22,7 +23,7 @@ def _write_csv(df, path):
     df.repartitionByRange(4, "seq").sortWithinPartitions("seq").drop("seq").write.options(**_CSV).csv(path)
 
 
-@query("dict_build", oracle(f"""
+_BUILT = f"""
 select cast(row_number() over (order by part, seq) as bigint) as sequence_id, form_name, field_name,
        case when part = 0 then substr(section_header, 1, 200) else section_header end as section_header, field_label, field_type,
        'main.csv' as file_name, '{RUN_DATE}' as created_on,
@@ -30,7 +31,10 @@ select cast(row_number() over (order by part, seq) as bigint) as sequence_id, fo
        case when part = 1 then 0 else coalesce(try_cast(form_sequence_id as integer), 0) end as form_sequence_id,
        {_TYPE_SQL} as report_type
 from (select 0 as part, seq, form_name, field_name, section_header, field_label, field_type, active, form_sequence_id from fx_fields
-      union all select 1, min(seq), form_name, concat(form_name, '_complete'), '', 'Complete?', 'dropdown', '', '' from fx_fields group by form_name)"""))
+      union all select 1, min(seq), form_name, concat(form_name, '_complete'), '', 'Complete?', 'dropdown', '', '' from fx_fields group by form_name)"""
+
+
+@query("dict_build", oracle(_BUILT))
 def dict_build(spark, d):
     fields = fixture(spark, d, "fx_fields")
     path = work_dir(spark, "dictionary")
@@ -52,6 +56,18 @@ def dict_build(spark, d):
     )
 
 
+@query("mart_dictionary", oracle(f"""
+select sequence_id, form_name, form_sequence_id, section_header, field_name, field_label, field_type, report_type, file_name, created_on, active
+from ({_BUILT})"""))
+def mart_dictionary(spark, d):
+    return views.dictionary_mart(dict_build(spark, d))
+
+
+@query("mart_report_names", oracle(f"select *, '{RUN_TS}' as created_on from fx_report_names"))
+def mart_report_names(spark, d):
+    return views.report_name_mart(fixture(spark, d, "fx_report_names"), F.lit(RUN_TS))
+
+
 @query("dict_form_sequence", oracle("""
 select form_name, row_number() over (order by min(seq)) as form_sequence_id from fx_fields group by form_name"""))
 def dict_form_sequence(spark, d):

@@ -37,8 +37,7 @@ def enrich_packet_map(spark, d):
 
 
 @query("exclude_invalid_reports", oracle("""
-select * from ox_staging
-where report_id not in (select report_id from ox_staging where not regexp_full_match(case_id, '[A-Za-z]{4}[0-9]{5}'))"""))
+select * from ox_staging where not exists (select 1 from ox_bad b where b.report_id = ox_staging.report_id)"""))
 def exclude_invalid_reports(spark, d):
     return enrich.exclude_invalid_reports(inputs.staging(spark, d), matches_pattern(LETTERS4_DIGITS5))
 

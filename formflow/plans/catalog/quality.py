@@ -179,3 +179,29 @@ def dq_digest_state(spark, d):
         F.to_json(F.struct(F.lit("2024-01-25").alias("last_notified"), F.array(F.struct("site_id", "case_id", "report_count")).alias("warnings"))).alias("value")
     )
     return digest.state_warnings(docs)
+
+
+MART_TESTS = [
+    quality.Declared("case id is set", "case_id is null"),
+    quality.Declared("case id has nine characters", "length(trim(case_id)) <> 9"),
+    quality.Declared("catchment is set", "catchment_id = ''", error_after=None),
+    quality.Declared("value is set", "field_value is null or trim(field_value) = ''", error_after=100),
+    quality.Declared("few rows are deleted", "is_deleted = 1", warn_after=100, error_after=10**9),
+]
+
+
+_TALLY = """(select count(*) filter (case_id is null) as a, count(*) filter (length(trim(case_id)) <> 9) as b, count(*) filter (catchment_id = '') as c,
+ count(*) filter (field_value is null or trim(field_value) = '') as d, count(*) filter (is_deleted = 1) as e from ox_mart) n"""
+
+
+@query("dq_mart_tests", oracle(f"""
+select 'case id is set' as test, a as failures, case when a > 0 then 'error' else 'pass' end as status from {_TALLY}
+union all select 'case id has nine characters', b, case when b > 0 then 'error' else 'pass' end from {_TALLY}
+union all select 'catchment is set', c, case when c > 0 then 'warn' else 'pass' end from {_TALLY}
+union all select 'value is set', d, case when d > 100 then 'error' when d > 0 then 'warn' else 'pass' end from {_TALLY}
+union all select 'few rows are deleted', e, case when e > 1000000000 then 'error' when e > 100 then 'warn' else 'pass' end from {_TALLY}
+union all select 'one row per field', count(*), case when count(*) > 0 then 'error' else 'pass' end
+from (select 1 from ox_mart group by site_id, report_id, field_name having count(*) > 1)"""))
+def dq_mart_tests(spark, d):
+    """The declared tests of the case mart with their severity; the multi-select field repeats by design, so its uniqueness fails."""
+    return quality.declared_tests(inputs.mart(spark, d), MART_TESTS, {"one row per field": ["site_id", "report_id", "field_name"]})

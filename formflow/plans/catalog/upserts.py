@@ -9,6 +9,7 @@ from formflow.operators.upsert import MergeSpec
 from formflow.plans.catalog import inputs
 from formflow.plans.fixtures import RUN_TS, fixture, oracle
 from formflow.plans.registry import query
+from formflow.session import materialise
 
 KEYS = ("case_id", "kind", "site")
 INSERTS = {
@@ -131,6 +132,68 @@ def upsert_full_step(spark, d):
     return done.drop("_action")
 
 
+# The upserts of procedures, specimens and the two widget tables: their source is a view of finished cases.
+FINISHED = "kind = 'F'"
+PROCEDURE = MergeSpec(("case_id", "kind"), _SET, INSERTS, target_filter="active = 1")
+SPECIMEN = MergeSpec(("case_id", "site"), {**_SET, "kind": "s.kind"}, INSERTS, target_filter="active = 1")
+WIDGET = MergeSpec(("case_id", "site"), {"seg": "s.seg"}, INSERTS)
+WIDGET_DETAIL = MergeSpec(("case_id", "kind", "site"), {"seg": "s.seg", "status_text": "'Closed'"}, INSERTS, update_when="t.status_text = 'Pending'")
+ON_SITE = "t.case_id = s.case_id and t.site is not distinct from s.site"
+
+
+def _step(merged: str, missing: str, duplicates: str | None = None) -> str:
+    """Expected table after the merge: older duplicates get 0, then rows without a source row 2."""
+    rank = f"case when active = 1 then row_number() over (partition by {duplicates}, active order by created_on desc, id desc) end" if duplicates else "null"
+    return (
+        f"select * exclude (active, rn, _action), case when active = 1 and rn > 1 then 0 when active = 1 and not exists "
+        f"(select 1 from fx_source s where s.{FINISHED} and {missing}) then 2 else active end as active from (select m.*, {rank} as rn from ({merged}) m) x"
+    )
+
+
+def _finished(sql: str) -> str:
+    return sql.replace("fx_source s", f"(select * from fx_source where {FINISHED}) s")
+
+
+@query("upsert_procedure", oracle(_step(_finished(_oracle(ON_CASE, _SET, target_filter="t.active = 1")), "s.case_id = x.case_id", "case_id")))
+def upsert_procedure(spark, d):
+    """Merge by case and kind; older active rows of a case and cases without a finished source row are deactivated."""
+    return upsert.apply_upsert(
+        fixture(spark, d, "fx_target"), fixture(spark, d, "fx_source").where(FINISHED), PROCEDURE, missing_keys=["case_id"],
+        scope="active = 1", duplicate_keys=["case_id"], duplicate_order=["created_on", "id"]).drop("_action")
+
+
+@query("upsert_specimen", oracle(_step(_finished(_oracle(ON_SITE, {**_SET, "kind": "s.kind"}, target_filter="t.active = 1")), "s.case_id = x.case_id")))
+def upsert_specimen(spark, d):
+    """Two key lists: matched by case and site, deactivated by case alone."""
+    return upsert.apply_upsert(
+        fixture(spark, d, "fx_target"), fixture(spark, d, "fx_source").where(FINISHED), SPECIMEN, missing_keys=["case_id"],
+        scope="active = 1").drop("_action")
+
+
+_PAIR = (("widget", WIDGET, ["case_id", "site"]), ("detail", WIDGET_DETAIL, ["case_id", "kind", "site"]))
+_PAIR_SQL = {
+    "widget": (_finished(_oracle(ON_SITE, {"seg": "s.seg"})), "s.case_id = m.case_id and s.site is not distinct from m.site"),
+    "detail": (_finished(_oracle(ON, {"seg": "s.seg", "status_text": "'Closed'"}, "t.status_text = 'Pending'")),
+               "s.case_id = m.case_id and s.kind = m.kind and s.site is not distinct from m.site"),
+}
+
+
+@query("upsert_widget_pair", oracle(" union all ".join(f"""
+select '{name}' as target, count(*) filter (state in ('update', 'insert')) as merged, count(*) filter (state = 'insert') as inserted,
+       count(*) filter (state = 'update') as updated, cast(0 as bigint) as deactivated_duplicates, count(*) filter (state = 'missing') as deactivated_missing
+from (select case when active = 1 and not exists (select 1 from fx_source s where s.{FINISHED} and {found}) then 'missing' else _action end as state from ({sql}) m)"""
+    for name, (sql, found) in _PAIR_SQL.items())))
+def upsert_widget_pair(spark, d):
+    """Affected-row counts of two upserts that share one written source."""
+    source = materialise(fixture(spark, d, "fx_source").where(FINISHED), "widget-source")
+    out = None
+    for name, spec, keys in _PAIR:
+        done = upsert.apply_upsert(fixture(spark, d, "fx_target"), source, spec, missing_keys=keys, scope="active = 1", written=True)
+        counts = upsert.action_counts(done).select(F.lit(name).alias("target"), "*")
+        out = counts if out is None else out.unionByName(counts)
+    return out
+
+
 SNAP_KEYS = ["site_id", "case_id", "field_name", "field_value"]
 _SNAP_ON = """coalesce(s.site_id, '') = coalesce(t.site_id, '') and s.case_id = t.case_id and s.field_name = t.field_name
  and s.field_value = t.field_value"""

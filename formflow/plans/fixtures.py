@@ -11,7 +11,6 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from formflow.sources import spread
 
 # Tables that grow with the data; the given files hold one row group each.
 FACTS = ("orders", "lineitem", "events", "documents", "part")
@@ -188,9 +187,12 @@ from ox_eav where field_name = 'case_id' or starts_with(field_name, 'catchment_i
 ORACLE_VIEWS["ox_staging"] = """
 select e.site_id, k.catchment_id, e.record as report_id, k.case_id, e.field_name, e.value as field_value
 from ox_eav e join ox_keys k on e.record = k.record and e.site_id = k.site_id"""
+ORACLE_VIEWS["ox_bad"] = """
+select distinct report_id from ox_keyed_reports where not regexp_full_match(case_id, '[A-Za-z]{4}[0-9]{5}')"""
+ORACLE_VIEWS["ox_keyed_reports"] = "select record as report_id, case_id from ox_keys"
 ORACLE_VIEWS["ox_mart"] = """
 select *, case when cast(report_id as bigint) % 23 = 0 then 1 else 0 end as is_deleted from ox_staging
-where report_id not in (select report_id from ox_staging where not regexp_full_match(case_id, '[A-Za-z]{4}[0-9]{5}'))"""
+where not exists (select 1 from ox_bad b where b.report_id = ox_staging.report_id)"""
 ORACLE_VIEWS["ox_decoded"] = """
 select m.site_id, m.report_id, m.catchment_id, m.case_id, m.field_name, m.field_value,
        case when d.field_type in ('radio', 'checkbox', 'dropdown') then coalesce(c.pref, m.field_value) else m.field_value end as field_value_label,
@@ -243,7 +245,9 @@ def oracle(sql: str) -> str:
     _closure(sql, views)
     if not views:
         return sql.strip()
-    return "with " + ",\n".join(f"{n} as ({b.strip()})" for n, b in views.items()) + "\n" + sql.strip()
+    # The views that others repeat are worked out once.
+    once = {"ox_eav", "ox_keys", "ox_staging", "ox_bad", "ox_mart"}
+    return "with " + ",\n".join(f"{n} as {'materialized ' if n in once else ''}({b.strip()})" for n, b in views.items()) + "\n" + sql.strip()
 
 
 _TABLES: dict[tuple[str, str, str], DataFrame] = {}
@@ -253,8 +257,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table; its schema is read once per session."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _TABLES:
-        df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-        _TABLES[key] = spread(df) if name in FACTS else df
+        _TABLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return _TABLES[key]
 
 

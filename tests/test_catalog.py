@@ -6,7 +6,9 @@ import pytest
 
 import __spark_entry__ as entry
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+from formflow.plans import catalog
+
+QUERIES, ORACLES = catalog.QUERIES, catalog.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +24,10 @@ def test_query_matches_oracle(spark, con, name):
     assert rows > 0, "an empty result would equal anything"
 
 
+def test_entry_registers_the_catalog():
+    assert QUERIES.items() <= entry.queries().items() and ORACLES.items() <= entry.oracle_sql().items()
+
+
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns == ["site_id", "catchment_id", "case_id", "status", "priority", "segment", "reason", "order_dt"]
