@@ -126,3 +126,25 @@ select page_id, strlen(h) as payload_bytes, sha1(h) as payload_digest,
   case when large and m is not null and (page_id is null or page_id < m) then 'revisit' else 'response' end as record_type,
   case when large and m is not null and (page_id is null or page_id < m) then m end as refers_to
 from g"""
+
+
+def suffix_array_dedup(length: int = 400) -> str:
+    """All strings of ``length`` bytes by their 64-bit hashes; spans are cut out of the hexadecimal text."""
+    return f"""
+with texts as materialized (
+  select row_number() over () as id, doc_id, encode(coalesce(text, '')) as e, hex(encode(coalesce(text, ''))) as h from documents),
+places as (select id, e, unnest(range(0, octet_length(e) - {length - 1})) as i from texts where octet_length(e) >= {length}),
+strings as (select id, i, hash(array_slice(e, i + 1, i + {length})) as s from places),
+twice as (select id, i from (select id, i, count(*) over (partition by s) as n from strings) where n > 1),
+marked as (select id, i, case when i - lag(i) over (partition by id order by i) <= {length} then 0 else 1 end as new from twice),
+grouped as (select id, i, sum(new) over (partition by id order by i) as g from marked),
+spans as (select id, min(i) as a, max(i) + {length} as b from grouped group by id, g),
+kept as (
+  select s.id, a, b, lag(b, 1, 0) over (partition by s.id order by a) as p, row_number() over (partition by s.id order by a desc) as last, h
+  from spans s join texts t on s.id = t.id),
+cut as (
+  select id, cast(sum(b - a) as bigint) as n_removed, count(*) as n_spans,
+    string_agg(substr(h, 2 * p + 1, 2 * (a - p)), '' order by a) || max(case when last = 1 then substr(h, 2 * b + 1) end) as rest
+  from kept group by id)
+select t.doc_id, octet_length(e) as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans, sha256(unhex(coalesce(rest, h))) as kept_sha256
+from texts t left join cut c on t.id = c.id"""
