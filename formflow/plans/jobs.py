@@ -16,6 +16,7 @@ from pyspark.sql.types import StructType
 from formflow.functions import IdRule, matches_pattern, row_id
 from formflow.operators import digest, enrich, quality, upsert
 from formflow.operators.upsert import MergeSpec
+from formflow.session import materialise
 from formflow.sinks import Snapshot, overwrite_staging
 
 
@@ -124,9 +125,11 @@ def run_upsert(
 def run_digest(root: str, warnings: DataFrame, today: date) -> DataFrame | None:
     """Add this run's warnings to the state; the digest to send when it is due, else None.
 
-    Without warnings nothing happens. After a digest the state starts empty.
+    Without warnings nothing happens. After a digest the state starts empty. The day of the digest is recorded before the
+    state is emptied: a crash in between keeps the warnings for the next digest.
     """
     spark = warnings.sparkSession
+    warnings = materialise(warnings, "digest-warnings")  # read several times below
     if warnings.isEmpty():
         return None
     state, notified = Snapshot(f"{root}/warnings"), Snapshot(f"{root}/notified")
@@ -142,8 +145,8 @@ def run_digest(root: str, warnings: DataFrame, today: date) -> DataFrame | None:
     if not due:
         return None
     to_send = state.at(spark, v).orderBy("site_id", "case_id")
-    state.publish(digest.next_state(to_send), stamp)
     notified.publish(spark.range(1).select(F.lit(today).alias("last_notified")), stamp)
+    state.publish(digest.next_state(to_send), stamp)
     return to_send
 
 
