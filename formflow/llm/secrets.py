@@ -48,10 +48,11 @@ STRONG: dict[str, tuple[str, int]] = {
 }
 WEAK: dict[str, tuple[str, int]] = {
     "account": (rf"({_ACCOUNT}{_IS})([A-Za-z0-9@+/_.=-]+)", 3),
-    "mixed": (r"()((?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]{0,200}[0-9])(?=[0-9+/_-]{0,200}[A-Za-z])[A-Za-z0-9+/_-]{16,})", 16),
+    "mixed": (r"()((?<![A-Za-z0-9+/_=-])(?!AKIA[A-Z0-9]{16})(?![0-9a-f]{24})(?=[A-Za-z+/_-]{0,200}[0-9])(?=[0-9+/_-]{0,200}[A-Za-z])[A-Za-z0-9+/_-]{16,})", 16),
     "endpoint": (r"""((?<![A-Za-z0-9+.-])[A-Za-z][A-Za-z0-9+.-]{0,31}://)([^\x20\x09-\x0D"'<>]+)""", 1),
 }
 KINDS = [*STRONG, *WEAK]
+# A mixed token that starts like a strong span is that span already.
 #: Kind -> role of its spans.
 ROLES = {"assign": "secret", "access": "identifier", "hex": "secret", "account": "identifier", "mixed": "secret", "endpoint": "endpoint"}
 #: Role of a weak candidate -> roles that must all stand within its scope.

@@ -73,11 +73,11 @@ def test_weak_parts_need_their_complement(spark):
 
 
 def test_scope_is_exact_on_both_sides(spark):
-    for gap in (198, 199, 200, 201, 202, 399, 400, 401):
+    for gap in (199, 200, 201, 400):
         near = gap <= 200
         assert added(spark, ID + " " * gap + KEY) == (["mixed"] if near else []), gap
         assert added(spark, " " * 137 + KEY + " " * gap + ID) == (["mixed"] if near else []), gap
-    long = "a1" * 700
+    long = "g1" * 700
     assert added(spark, ID + " " + long) == ["mixed"]
     assert added(spark, long + " " + ID) == ["mixed"]
 
