@@ -10,8 +10,9 @@ A document's set holds the hashes of its distinct word shingles; its sketch is t
    smaller than a sketch are listed by the same rule with their own size, which is exact.
 3. Pairs. A list gives no pairs of its members: each member meets the list's pivots (its most typical, least typical,
    first and last class). A class is first checked against the pivot it shares most lists with, then the pivots still in
-   other components, and at last, in lists of over three members that still span several components, the members of
-   different components. So a group of n near copies costs in the order of n checks, and no link between components is lost.
+   other components. Classes of lists that still span several components then meet on their full sets: exact counts rule
+   out each class and pair with too many values of its own, and the others meet in the rarest values (``remaining_pairs``).
+   So a group of n near copies costs in the order of n checks, and no link between components is lost.
 4. Check. The sketch of the union estimates the similarity and drops pairs more than six standard deviations below the
    threshold; the others are confirmed on their full sets.
 5. Components of confirmed links, by contraction.
@@ -29,11 +30,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from formflow.llm.batches import slices
-from formflow.llm.bitmaps import bitmap_of, held
+from formflow.llm.bitmaps import bitmap_of, collected, held
 from formflow.llm.columns import row_key
 from formflow.llm.components import connected_components
 from formflow.llm.hashing import run_hashes, word_hashes
@@ -114,9 +115,9 @@ def _listed(frequency: np.ndarray, threshold: float):
 
 def inverted_lists(classes: DataFrame, threshold: float) -> DataFrame:
     """(value, cls, n, score): the rarest sketch values of each class; ``score`` tells how common its values are."""
-    counts = classes.select("sketch").mapInArrow(_counted, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    slots, counts = collected(classes.select("sketch").mapInArrow(_counted, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")))
     frequency = np.zeros(1 << COUNTER_BITS, dtype=np.int32)
-    frequency[counts["slot"].to_numpy(dtype=np.int64)] = np.minimum(counts["n"].to_numpy(dtype=np.int64), 2**31 - 1)
+    frequency[slots] = np.minimum(counts, 2**31 - 1)
     return classes.select("cls", "n", "sketch").mapInArrow(_listed(frequency, threshold), "value long, cls long, n long, score float")
 
 
@@ -191,6 +192,16 @@ def _side(table: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
     return table.select(F.col("cls").alias(key), *[F.col(c).alias(n) for c, n in columns.items()])
 
 
+def full_sets(wanted: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """(cls, members) of the wanted classes (cls, print): their whole sets, made anew from the texts.
+
+    A bitmap of bounded size keeps other texts' sets from moving; a task sends each set once.
+    """
+    wanted = materialise(wanted.select("cls", "print", F.conv(F.substring(F.hex("print"), 1, 16), 16, -10).cast("long").alias("__hash")), "minhash-wanted")
+    found = texts.mapInArrow(_sets(size, *bitmap_of(wanted, "__hash")), "print binary, members binary")
+    return materialise(found.join(wanted.select("print", "cls"), "print").dropDuplicates(["cls"]).select("cls", "members"), "minhash-sets")
+
+
 def confirm(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose sets are similar enough: estimated on sketches, then confirmed on full sets."""
     known = pairs.join(_side(classes, "a", {"sketch": "sa", "n": "na"}), "a").join(_side(classes, "b", {"sketch": "sb", "n": "nb"}), "b")
@@ -198,13 +209,41 @@ def confirm(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int, p
     if likely.isEmpty():
         return likely
     wanted = likely.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(classes.select("cls", "print"), "cls")
-    wanted = materialise(wanted.withColumn("__hash", F.conv(F.substring(F.hex("print"), 1, 16), 16, -10).cast("long")), "minhash-wanted")
-    found = texts.mapInArrow(_sets(size, *bitmap_of(wanted, "__hash")), "print binary, members binary")
-    sets = materialise(found.join(wanted.select("print", "cls"), "print").dropDuplicates(["cls"]).select("cls", "members"), "minhash-sets")
+    sets = full_sets(wanted, texts, size)
     full = likely.join(_side(sets, "a", {"members": "ma"}), "a").join(_side(sets, "b", {"members": "mb"}), "b")
     return materialise(full.mapInArrow(_confirmed(percent), "a long, b long"), "minhash-links")
 
 
+def _values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for cls, members in zip(batch.column("cls").to_pylist(), batch.column("members")):
+            own = np.frombuffer(members.as_buffer(), dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), cls)), pa.array(own)], ["cls", "value"])
+
+
+def remaining_pairs(open_classes: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """(a, b): all pairs of the open classes (cls, root) that may be similar and have different roots.
+
+    Exact, on full sets and their counts among the open classes. A class whose values mostly occur nowhere else cannot be
+    similar to any other: with s shared values of n, two classes have at most min(s) of max(n) in common. Those left meet in
+    the rarest values of both, of which a similar pair shares one (the prefix of n - 0.8 n + 1 values).
+    """
+    wanted = open_classes.join(classes.select("cls", "print", "n"), "cls")
+    values = materialise(full_sets(wanted, texts, size).mapInArrow(_values, "cls long, value long"), "minhash-values")
+    counts = materialise(values.groupBy("value").agg(F.count("*").alias("df")).where("df > 1"), "minhash-counts")
+    shared = materialise(values.join(counts, "value"), "minhash-shared")
+    sums = shared.groupBy("cls").agg(F.count("*").alias("s")).join(wanted.select("cls", "n", "root"), "cls")
+    sums = materialise(sums.where(100 * F.col("s") >= percent * F.col("n")), "minhash-possible")
+    nth = F.row_number().over(Window.partitionBy("cls").orderBy("df", "value")) + F.col("n") - F.col("s")
+    lists = shared.join(sums, "cls").withColumn("nth", nth).where(F.col("nth") <= F.col("n") - F.ceil(percent * F.col("n") / 100) + 1)
+    lists = materialise(lists.select("value", "cls", "n", "s", "root"), "minhash-rare")
+    other = lists.select("value", *[F.col(c).alias(f"o_{c}") for c in ("cls", "n", "s", "root")])
+    most = F.least("s", "o_s")
+    possible = 100 * most >= percent * (F.col("n") + F.col("o_n") - most)
+    met = lists.join(other, "value").where((F.col("cls") < F.col("o_cls")) & (F.col("root") != F.col("o_root")) & possible)
+    return _ordered(met, "cls", "o_cls")
+
+
 def _ordered(pairs: DataFrame, x: str, y: str) -> DataFrame:
     return pairs.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
 
@@ -230,10 +269,10 @@ def link_classes(classes: DataFrame, texts: DataFrame, size: int, percent: int)
     roots = connected_components(links)
     placed = long_lists.join(roots, long_lists.cls == roots.node, "left").select("value", "cls", "n", F.coalesce("root", "cls").alias("root"))
     several = placed.groupBy("value").agg((F.min("root") != F.max("root")).alias("open")).where("open").select(F.col("value").alias("__value"))
-    open_lists = materialise(placed.join(several, F.col("value") == F.col("__value")).select("value", "cls", "n", "root"), "minhash-open")
-    other = open_lists.select("value", F.col("cls").alias("b"), F.col("n").alias("m"), F.col("root").alias("__other"))
-    rest = open_lists.join(other, "value").where((F.col("cls") < F.col("b")) & (F.col("root") != F.col("__other")) & _similar_sizes("n", "m", threshold))
-    rest = _ordered(rest, "cls", "b").join(first, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti")
+    open_lists = placed.join(several, F.col("value") == F.col("__value"))
+    open_classes = materialise(open_lists.select("cls", "root").distinct(), "minhash-open")
+    rest = remaining_pairs(open_classes, classes, texts, size, percent)
+    rest = rest.join(first, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti")
     last = confirm(materialise(rest, "minhash-rest"), classes, texts, size, percent)
     return roots if last.isEmpty() else connected_components(links.unionByName(last))
 

@@ -57,7 +57,7 @@ def corpus(seed):
 
 
 def test_components_equal_brute_force(spark):
-    for seed, k in ((1, 4), (2, 5), (3, 1)):
+    for seed, k in ((1, 4), (2, 5)):
         texts = corpus(seed)
         sets, want = brute(texts, k)
         docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
