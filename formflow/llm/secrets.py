@@ -20,7 +20,7 @@ ignored.
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,11 +48,13 @@ STRONG: dict[str, tuple[str, int]] = {
 }
 WEAK: dict[str, tuple[str, int]] = {
     "account": (rf"({_ACCOUNT}{_IS})([A-Za-z0-9@+/_.=-]+)", 3),
-    "mixed": (r"()((?<![A-Za-z0-9+/_=-])(?!AKIA[A-Z0-9]{16})(?![0-9a-f]{24})(?=[A-Za-z+/_-]{0,200}[0-9])(?=[0-9+/_-]{0,200}[A-Za-z])[A-Za-z0-9+/_-]{16,})", 16),
+    "mixed": (r"()((?<![A-Za-z0-9+/_-])(?!AKIA[A-Z0-9]{16})(?![0-9a-f]{24})[A-Za-z0-9+/_-]{16,})", 16),
     "endpoint": (r"""((?<![A-Za-z0-9+.-])[A-Za-z][A-Za-z0-9+.-]{0,31}://)([^\x20\x09-\x0D"'<>]+)""", 1),
 }
 KINDS = [*STRONG, *WEAK]
-# A mixed token that starts like a strong span is that span already.
+# A mixed token that starts like a strong span is that span already, as is one inside an assignment.
+#: Kind -> patterns that must all occur in the value.
+HOLDS = {"mixed": ("[0-9]", "[A-Za-z]")}
 #: Kind -> role of its spans.
 ROLES = {"assign": "secret", "access": "identifier", "hex": "secret", "account": "identifier", "mixed": "secret", "endpoint": "endpoint"}
 #: Role of a weak candidate -> roles that must all stand within its scope.
@@ -62,7 +64,7 @@ _SPAN = "struct<start:int,kind:int,end:int>"
 
 
 def _spans(text: Column, kind: str, pattern: str, least: int) -> Column:
-    """Array of (start, kind number, end) of the leftmost non-overlapping matches whose value is long enough."""
+    """Array of (start, kind number, end) of the leftmost non-overlapping matches whose value is long enough and holds what its kind must."""
     pieces = F.split(F.regexp_replace(text, pattern, f"{_MARK}$1{_MARK}$2{_MARK}"), _MARK)
     state = F.struct(F.lit(0).alias("i"), F.lit(0).alias("at"), F.lit(0).alias("head"), F.array().cast(f"array<{_SPAN}>").alias("out"))
 
@@ -70,13 +72,28 @@ def _spans(text: Column, kind: str, pattern: str, least: int) -> Column:
         n, third = F.length(piece), a["i"] % 3
         end = a["at"] + n
         span = F.struct(a["head"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), end.alias("end"))
+        fits = reduce(and_, (piece.rlike(p) for p in HOLDS.get(kind, ())), (third == 2) & (n >= least))
         return F.struct(
             (a["i"] + 1).alias("i"), end.alias("at"), F.when(third == 0, end).otherwise(a["head"]).alias("head"),
-            F.when((third == 2) & (n >= least), F.concat(a["out"], F.array(span))).otherwise(a["out"]).alias("out"))
+            F.when(fits, F.concat(a["out"], F.array(span))).otherwise(a["out"]).alias("out"))
 
     return F.aggregate(pieces, state, step, lambda a: a["out"])
 
 
+def _outside(spans: Column, assigns: Column) -> Column:
+    """``spans`` without those inside one of ``assigns``, which do not overlap each other; one pass by start."""
+    state = F.struct(F.lit(0).alias("to"), F.array().cast(f"array<{_SPAN}>").alias("out"))
+
+    def step(a: Column, s: Column) -> Column:
+        assign = s["kind"] == KINDS.index("assign")
+        return F.struct(
+            F.when(assign, s["end"]).otherwise(a["to"]).alias("to"),
+            F.when(assign | (s["end"] <= a["to"]), a["out"]).otherwise(F.concat(a["out"], F.array(s))).alias("out"))
+
+    return F.when((F.size(spans) == 0) | (F.size(assigns) == 0), spans).otherwise(
+        F.aggregate(F.sort_array(F.concat(assigns, spans)), state, step, lambda a: a["out"]))
+
+
 def find_parts(docs: DataFrame, carry: str | None = None) -> DataFrame:
     """Per row of ``docs``: ``key`` (null without weak spans), doc_id, ``strong`` and ``weak`` spans. Reads whole texts.
 
@@ -96,7 +113,10 @@ def find_parts(docs: DataFrame, carry: str | None = None) -> DataFrame:
     rows = rows.withColumn("__endpoint", F.col("__mixed") & text.contains("://"))
     none = F.array().cast(f"array<{_SPAN}>")
     found = {kind: F.when(F.col(f"__{kind}"), _spans(text, kind, *how)).otherwise(none) for kind, how in (STRONG | WEAK).items()}
-    spans = rows.select(*kept, "doc_id", "text", F.concat(*[found[k] for k in STRONG]).alias("strong"), F.concat(*[found[k] for k in WEAK]).alias("weak"))
+    spans = rows.select(*kept, "doc_id", "text", *[found[k].alias(f"__{k}") for k in KINDS])
+    spans = spans.withColumn("__mixed", _outside(F.col("__mixed"), F.col("__assign")))
+    joined = lambda kinds: F.concat(*[F.col(f"__{k}") for k in kinds])
+    spans = spans.select(*kept, "doc_id", "text", joined(STRONG).alias("strong"), joined(WEAK).alias("weak"))
     return spans.select(*kept, F.when(F.size("weak") > 0, row_key("doc_id", "text")).alias("key"), "doc_id", "strong", "weak")
 
 
