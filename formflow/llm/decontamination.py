@@ -2,9 +2,8 @@
 
 A mask looks at some of ``SPAN`` consecutive tokens and ignores the others. Each position is ignored by one of the masks,
 so any window with one substituted token, and many with more, still has a seed equal to that of the original. Seeds of test
-items and of training documents are joined; around each hit both token sequences are compared without gaps, extended as
-long as matches outweigh substitutions, and reported if ``MIN_OVERLAP`` tokens (all of a shorter item's) and a share of
-``MIN_SHARE`` of the overlap are equal.
+items and of training documents are joined; around each hit both token sequences are compared without gaps, and the longest overlap is reported
+of which ``MIN_OVERLAP`` tokens (all of a shorter item's) and a share of ``MIN_SHARE`` are equal.
 
 Tokens are runs of ASCII letters, digits and non-ASCII characters, A-Z lower-cased, so punctuation and spacing do not matter.
 
@@ -36,7 +35,9 @@ SPAN = 9
 MASKS = ((1, 2, 4, 5, 7, 8), (0, 2, 3, 5, 6, 8), (0, 1, 3, 4, 6, 7))
 #: Tokens carried on each side of a seed, for verification.
 REACH = 32
-MIN_OVERLAP, MIN_SHARE, PENALTY = 12, 0.8, 2
+MIN_OVERLAP, MIN_SHARE = 12, 0.8
+#: What a matching and a substituted token weigh, in fifths: a sum of zero is a share of ``MIN_SHARE``.
+FIFTHS = (1, 4)
 
 
 def _seeds(bits: int, bitmap: np.ndarray | None):
@@ -82,26 +83,34 @@ def seed_table(rows: DataFrame, bits: int = 0, bitmap: np.ndarray | None = None)
     return rows.mapInArrow(_seeds(bits, bitmap), f"seed long, {ids}, {_SEED_COLUMNS}")
 
 
-def compare(doc: np.ndarray, item: np.ndarray, common: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Overlaps around hits: rows are aligned surroundings, ``common`` says where both sequences have a token.
+def longest(equal: np.ndarray, known: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Per row of aligned tokens the overlap with most matching tokens of all those with a share of ``MIN_SHARE``.
 
-    ``least`` tokens must match. Gives accepted, length, matching tokens, tokens before the seed.
+    ``equal`` says where the tokens match, ``known`` where both sequences have one; ``least`` tokens must match. Gives
+    accepted, length, matching tokens and start. An overlap starts and ends with equal tokens; of several with as many
+    matching tokens the longest, then the first.
     """
-    equal = (doc == item) & common
-    gain = np.where(common, np.where(equal, 1, -PENALTY), -10**6)
-
-    def extent(x: np.ndarray) -> np.ndarray:
-        total = np.cumsum(x, axis=1)
-        best = total.argmax(axis=1)
-        return np.where(total[np.arange(len(x)), best] > 0, best + 1, 0)
-
-    left, right = extent(gain[:, REACH - 1 :: -1]), extent(gain[:, REACH + SPAN :])
-    place = np.arange(doc.shape[1])
-    agreed = equal & (place >= REACH - left[:, None]) & (place < REACH + SPAN + right[:, None])
-    # An overlap starts and ends with equal tokens, also where the mask ignored the seed's ends.
-    first, last = agreed.argmax(axis=1), doc.shape[1] - 1 - agreed[:, ::-1].argmax(axis=1)
-    matching, length = agreed.sum(axis=1), last - first + 1
-    return (matching >= least) & (matching >= MIN_SHARE * length), length, matching, REACH - first
+    rows, width = equal.shape
+    equal = equal & known
+    # Prefix sums that do not fall over an overlap of sufficient share, and do over any that takes in an unknown token.
+    up, down = FIFTHS
+    gain = np.where(equal, up, np.where(known, -down, -up * (width + 1))).astype(np.int64)
+    none = np.zeros((rows, 1), dtype=np.int64)
+    total, matched = np.hstack([none, np.cumsum(gain, axis=1)]), np.hstack([none, np.cumsum(equal, axis=1)])
+    # For each end the first start from which the sums do not fall: there most tokens match.
+    lowest = np.minimum.accumulate(total, axis=1)
+    apart = np.arange(rows)[:, None] * (total.max(initial=0) - total.min(initial=0) + 1)
+    first = np.searchsorted((apart - lowest).ravel(), (apart - total).ravel()).reshape(total.shape) - np.arange(rows)[:, None] * (width + 1)
+    place = np.arange(width)
+    following = np.minimum.accumulate(np.where(equal, place, width)[:, ::-1], axis=1)[:, ::-1]
+    start = np.take_along_axis(np.hstack([following, np.full((rows, 1), width)]), first, axis=1)
+    matching, length = matched - np.take_along_axis(matched, first, axis=1), np.arange(width + 1) - start
+    # An end behind an unequal token has a shorter one with as many matching tokens.
+    matching[:, 1:][~equal] = 0
+    matching[:, 0] = 0
+    best = (matching * (width + 1) + np.where(matching > 0, length, 0)).argmax(axis=1)
+    start, matching, length = (x[np.arange(rows), best] for x in (start, matching, length))
+    return (matching > 0) & (matching >= least), length, matching, start
 
 
 def _verify(ids: list[str]):
@@ -114,7 +123,9 @@ def _verify(ids: list[str]):
             place = np.arange(SPAN + 2 * REACH)
             within = lambda a, b: (place >= number(a)[:, None]) & (place < (number(a) + number(b))[:, None])
             least = np.minimum(MIN_OVERLAP, number("item_tokens"))
-            ok, length, matching, left = compare(rows("around"), rows("item_around"), within("from_", "reach") & within("item_from", "item_reach"), least)
+            known = within("from_", "reach") & within("item_from", "item_reach")
+            ok, length, matching, start = longest(rows("around") == rows("item_around"), known, least)
+            left = REACH - start
             keep = pa.array(np.flatnonzero(ok))
             columns = [*(batch.column(c) for c in ids), pa.array(length), pa.array(matching), pa.array(number("at") - left), pa.array(number("item_at") - left)]
             yield pa.RecordBatch.from_arrays([c.take(keep) for c in columns], [*ids, "overlap", "matching", "doc_token", "item_token"])

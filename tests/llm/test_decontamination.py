@@ -50,6 +50,31 @@ def test_passages_are_found_with_substitutions(spark):
     assert (got[2, 0].overlap_tokens, got[2, 0].item_token) == (14, 10)
 
 
+def aligned(pattern, seed=70):
+    """An item, and a document that has its tokens where the pattern says 1."""
+    item, other = words(seed, len(pattern)), words(seed + 1, len(pattern))
+    return " ".join(item), " ".join(t if p == "1" else o for t, o, p in zip(item, other, pattern))
+
+
+def test_partly_similar_surroundings_hide_no_exact_run(spark):
+    item, doc = aligned("0111111111001110101001011111111111101011110000010110011101")
+    row = found(spark, [doc], [item])[0, 0]
+    assert row.matching_tokens >= 12 and row.matching_tokens >= 0.8 * row.overlap_tokens
+
+
+def test_longest_overlap_equals_all_pairs():
+    rng = random.Random(5)
+    for width in (1, 5, 30, 73):
+        equal = np.array([[rng.random() < p for _ in range(width)] for p in [rng.choice((0.2, 0.6, 0.75, 0.9)) for _ in range(60)]])
+        known = np.array([[rng.random() < 0.97 for _ in range(width)] for _ in range(60)])
+        ok, length, matching, start = decontamination.longest(equal, known, np.full(60, min(12, width)))
+        for e, k, *got in zip(equal & known, known, ok, length, matching, start):
+            every = [(sum(e[i:j]), j - i, -i) for i in range(width) for j in range(i + 1, width + 1)
+                     if e[i] and e[j - 1] and all(k[i:j]) and 5 * sum(e[i:j]) >= 4 * (j - i)]
+            best = max(every, default=(0, 0, 0))
+            assert got[0] == (best[0] >= min(12, width)) and (not got[0] or (got[2], got[1], -got[3]) == best)
+
+
 def test_equals_brute_force_on_exact_passages(spark):
     rng = random.Random(8)
     items = [words(100 + i, rng.randrange(5, 40)) for i in range(15)]
