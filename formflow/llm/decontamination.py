@@ -3,7 +3,9 @@
 A mask looks at some of ``SPAN`` consecutive tokens and ignores the others. Each position is ignored by one of the masks,
 so any window with one substituted token, and many with more, still has a seed equal to that of the original. Seeds of test
 items and of training documents are joined; around each hit both token sequences are compared without gaps, and the longest overlap is reported
-of which ``MIN_OVERLAP`` tokens (all of a shorter item's) and a share of ``MIN_SHARE`` are equal.
+of which ``MIN_OVERLAP`` tokens (all of a shorter item's) and a share of ``MIN_SHARE`` are equal. Stretches compared
+around several hits are chained; they end ``REACH`` tokens beyond the outermost seeds, so two passages with more than
+twice as many tokens without a seed between them are two overlaps, of which the better is reported.
 
 Tokens are runs of ASCII letters, digits and non-ASCII characters, A-Z lower-cased, so punctuation and spacing do not matter.
 
@@ -22,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,7 +36,7 @@ from formflow.session import materialise
 
 SPAN = 9
 MASKS = ((1, 2, 4, 5, 7, 8), (0, 2, 3, 5, 6, 8), (0, 1, 3, 4, 6, 7))
-#: Tokens carried on each side of a seed, for verification.
+#: Tokens carried on each side of a seed, for verification; what lies further is known from further seeds.
 REACH = 32
 MIN_OVERLAP, MIN_SHARE = 12, 0.8
 #: What a matching and a substituted token weigh, in fifths: a sum of zero is a share of ``MIN_SHARE``.
@@ -113,39 +116,102 @@ def longest(equal: np.ndarray, known: np.ndarray, least: np.ndarray) -> tuple[np
     return (matching > 0) & (matching >= least), length, matching, start
 
 
-def _verify(ids: list[str]):
+def _compared(ids: list[str]):
+    """Hits to blocks of 64 item tokens: which of them the hit's surroundings hold, and which are equal there."""
+    width = SPAN + 2 * REACH
+    blocks = (width + 126) // 64
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
+            n = batch.num_rows
+            if not n:
                 continue
             number = lambda c: np.asarray(batch.column(c), dtype=np.int64)
-            rows = lambda c: np.asarray(batch.column(c).flatten(), dtype=np.int32).reshape(batch.num_rows, -1)
-            place = np.arange(SPAN + 2 * REACH)
+            rows = lambda c: np.asarray(batch.column(c).flatten(), dtype=np.int32).reshape(n, -1)
+            place = np.arange(width)
             within = lambda a, b: (place >= number(a)[:, None]) & (place < (number(a) + number(b))[:, None])
-            least = np.minimum(MIN_OVERLAP, number("item_tokens"))
             known = within("from_", "reach") & within("item_from", "item_reach")
-            ok, length, matching, start = longest(rows("around") == rows("item_around"), known, least)
-            left = REACH - start
-            keep = pa.array(np.flatnonzero(ok))
-            columns = [*(batch.column(c) for c in ids), pa.array(length), pa.array(matching), pa.array(number("at") - left), pa.array(number("item_at") - left)]
-            yield pa.RecordBatch.from_arrays([c.take(keep) for c in columns], [*ids, "overlap", "matching", "doc_token", "item_token"])
+            first = (number("item_at") - REACH) // 64
+            where = place + (number("item_at") - REACH - 64 * first)[:, None]
+
+            def packed(bits: np.ndarray) -> np.ndarray:
+                whole = np.zeros((n, 64 * blocks), dtype=bool)
+                np.put_along_axis(whole, where, bits, axis=1)
+                return np.packbits(whole, axis=1, bitorder="little").view("<i8")
+
+            both, equal = packed(known), packed(known & (rows("around") == rows("item_around")))
+            row, k = np.nonzero(both)
+            owner = pa.array(row)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c).take(owner) for c in ids), pa.array((number("at") - number("item_at"))[row]),
+                 pa.array(first[row] + k), pa.array(both[row, k]), pa.array(equal[row, k])],
+                [*ids, "shift", "block", "known", "equal"])
+
+    return run
+
+
+def _chained(ids: list[str]):
+    """Blocks of one diagonal, in order, to its longest overlap, if there is one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            lists = batch.column("blocks")
+            block, known, equal = (np.asarray(x, dtype=np.int64) for x in lists.flatten().flatten())
+            count = np.asarray(pc.list_value_length(lists), dtype=np.int64)
+            ends = np.cumsum(count)
+            first, span = block[ends - count], block[ends - 1] - block[ends - count] + 1
+            owner = np.repeat(np.arange(len(count)), count)
+            shift, least = (np.asarray(batch.column(c), dtype=np.int64) for c in ("shift", "least"))
+            for words in np.unique(span):
+                same = np.flatnonzero(span == words)
+                step = max(1, (1 << 20) // (64 * int(words)))
+                for some in (same[i : i + step] for i in range(0, len(same), step)):
+                    of = np.flatnonzero(np.isin(owner, some))
+                    at = np.searchsorted(some, owner[of]), block[of] - first[owner[of]]
+
+                    def bits(x: np.ndarray) -> np.ndarray:
+                        whole = np.zeros((len(some), int(words)), dtype="<i8")
+                        whole[at] = x[of]
+                        return np.unpackbits(whole.view(np.uint8), axis=1, bitorder="little").astype(bool)
+
+                    ok, length, matching, start = longest(bits(equal), bits(known), least[some])
+                    start = start + 64 * first[some]
+                    kept = pa.array(some[ok])
+                    yield pa.RecordBatch.from_arrays(
+                        [*(batch.column(c).take(kept) for c in ids), *(pa.array(x[ok]) for x in (length, matching, start + shift[some], start))],
+                        [*ids, "overlap", "matching", "doc_token", "item_token"])
 
     return run
 
 
 def find_overlaps(docs: DataFrame, benchmark: DataFrame, ids: list[str]) -> DataFrame:
-    """Per (``ids`` of docs, item_id) the best overlap: overlap and matching tokens, and where it starts in both."""
-    items = benchmark.select("item_id", F.col("text").cast("string").alias("text"))
+    """Per (``ids`` of docs, item_id) the best overlap: overlap and matching tokens, and where it starts in both.
+
+    Surroundings of all hits on one diagonal (document place less item place) of a document and an item are put
+    together, so an overlap has its full extent. They meet as bits, merged before they move: what a diagonal gathers
+    follows the item's length only, whatever number of rows a document is repeated in.
+    """
+    text = F.col("text").cast("string").alias("text")
+    items = benchmark.select("item_id", row_key("item_id", "text").alias("__item"), text)
     tests = materialise(seed_table(items), "benchmark-seeds")
     bits, bitmap = bitmap_of(tests, "seed")
-    hits = seed_table(docs.select(*ids, F.col("text").cast("string").alias("text")), bits, bitmap)
-    tests = tests.select("seed", "item_id", *[F.col(c).alias(a) for c, a in (
+    hits = seed_table(docs.select(*ids, row_key(*ids, "text").alias("__doc"), text), bits, bitmap)
+    tests = tests.select("seed", "item_id", "__item", *[F.col(c).alias(a) for c, a in (
         ("at", "item_at"), ("n_tokens", "item_tokens"), ("from_", "item_from"), ("reach", "item_reach"), ("around", "item_around"))])
-    joined = hits.join(tests, "seed").drop("seed", "n_tokens")
+    joined = hits.join(tests, "seed").drop("seed", "n_tokens").withColumn("least", F.least(F.lit(MIN_OVERLAP), "item_tokens"))
     both = [*ids, "item_id"]
     kinds = dict(docs.dtypes) | {"item_id": dict(benchmark.dtypes)["item_id"]}
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in both) + ", overlap long, matching long, doc_token long, item_token long"
-    found = joined.mapInArrow(_verify(both), schema)
+    declared = lambda names: ", ".join(f"`{c}` {kinds[c]}" for c in names)
+    kinds |= {"__doc": "string", "__item": "string", "least": "int"}
+    own = [*both, "__doc", "__item", "least"]
+    compared = joined.mapInArrow(_compared(own), declared(own) + ", shift long, block long, known long, equal long")
+    blocks = compared.groupBy(*own, "shift", "block").agg(F.bit_or("known").alias("known"), F.bit_or("equal").alias("equal"))
+    # Far fewer diagonals have enough equal tokens at all.
+    diagonals = blocks.groupBy(*own, "shift").agg(
+        F.sum(F.bit_count("equal")).alias("n"), F.sort_array(F.collect_list(F.struct("block", "known", "equal"))).alias("blocks")).where("n >= least").drop("n")
+    found = diagonals.mapInArrow(_chained(both), declared(both) + ", overlap long, matching long, doc_token long, item_token long")
     best = F.max(F.struct("matching", "overlap", (-F.col("doc_token")).alias("d"), (-F.col("item_token")).alias("i"))).alias("b")
     return found.groupBy(*both).agg(best).select(
         *both, F.col("b.overlap").alias("overlap_tokens"), F.col("b.matching").alias("matching_tokens"), (-F.col("b.d")).alias("doc_token"), (-F.col("b.i")).alias("item_token"))

@@ -62,6 +62,24 @@ def test_partly_similar_surroundings_hide_no_exact_run(spark):
     assert row.matching_tokens >= 12 and row.matching_tokens >= 0.8 * row.overlap_tokens
 
 
+def test_overlaps_have_their_full_extent(spark):
+    item = words(80, 300)
+    changed = ["other" if i % 20 == 10 else t for i, t in enumerate(item)]
+    docs = [" ".join(words(81, 40) + d + words(82, 40)) for d in (item, changed, item[30:90], item[:40] + words(83, 120) + item[160:])]
+    got = found(spark, docs, [" ".join(item)])
+    at = {d: (r.overlap_tokens, r.matching_tokens, r.doc_token, r.item_token) for (d, _), r in got.items()}
+    assert at == {0: (300, 300, 40, 0), 1: (300, 285, 40, 0), 2: (60, 60, 40, 30), 3: (140, 140, 200, 160)}
+
+
+def test_rows_of_one_id_are_not_chained_together(spark):
+    item = words(84, 20)
+    halves = [item[:10] + words(85, 10), words(86, 10) + item[10:]]
+    docs = spark.createDataFrame([(None, " ".join(h)) for h in halves], "doc_id long, text string")
+    assert decontamination.leaks(docs, spark.createDataFrame([(None, " ".join(item))], ITEMS)).isEmpty()
+    items = spark.createDataFrame([(None, " ".join(h)) for h in halves], ITEMS)
+    assert decontamination.leaks(spark.createDataFrame([(1, " ".join(item))], "doc_id long, text string"), items).isEmpty()
+
+
 def test_longest_overlap_equals_all_pairs():
     rng = random.Random(5)
     for width in (1, 5, 30, 73):
