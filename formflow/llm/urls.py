@@ -5,7 +5,8 @@ trust flows from hosts with allowed pages along links (personalised PageRank), d
 pages against the links' direction (who links to blocked hosts is distrusted), and each host is judged by its two scores.
 
 Only DataFrame operations are used. Host edges are summed before they move; each superstep is one written table in the
-shared folder, so lost executors cost no more than a step.
+shared folder, so lost executors cost no more than a step. Unless a number of steps is asked for, they go on until the
+scores have converged.
 
 Edge cases: a null url or one without ``://`` has empty host and path, fits no rule and is allowed unless its (empty) host
 is distrusted, which cannot happen as it never gets a seed or a link; null html has no links; repeated pages are judged
@@ -36,11 +37,24 @@ class Rule:
 
 @dataclass(frozen=True)
 class Propagation:
-    """``steps`` supersteps with the given damping; a host is blocked from ``threshold`` on, if distrust outweighs trust."""
+    """``steps`` supersteps with the given damping; a host is blocked from ``threshold`` on, if distrust outweighs trust.
+
+    With a ``tolerance`` there are as many supersteps as it takes, whatever ``steps`` is: the last one adds less than it
+    to all hosts together. Each adds at most ``damping`` times what the one before added, so no score lacks more than
+    tolerance * damping / (1 - damping).
+    """
 
     steps: int = 8
     damping: float = 0.85
     threshold: float = 0.01
+    tolerance: float | None = None
+
+    def __post_init__(self) -> None:
+        if self.tolerance is not None and not (self.tolerance > 0 and 0 <= self.damping < 1):
+            raise ValueError("a tolerance must be positive and needs a damping from 0 to below 1")
+
+
+CONVERGED = Propagation(tolerance=1e-5)
 
 
 _LINK = r"""(?i)href\s*=\s*["']?(?:[a-z][a-z0-9+.-]{0,31}:)?//([^/?#"'\s<>]+)"""
@@ -72,30 +86,37 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return links.where("src <> dst and src <> '' and dst <> ''").groupBy("src", "dst").agg(F.count("*").cast("double").alias("weight"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, how: Propagation = Propagation()) -> DataFrame:
-    """(host, trust, distrust) after ``how.steps`` steps. ``seeds``: one row (host, trust, distrust) per host with a seed.
+def propagate(edges: DataFrame, seeds: DataFrame, how: Propagation = CONVERGED) -> DataFrame:
+    """(host, trust, distrust) after the supersteps. ``seeds``: one row (host, trust, distrust) per host with a seed.
 
     Trust of a host goes to the hosts it links to, in proportion to the weights; distrust goes to the hosts that link to
-    it. A host without further edges passes nothing on.
+    it. A host without further edges passes nothing on. A superstep passes on what the one before added.
     """
     sent = edges.groupBy("src").agg(F.sum("weight").alias("sent"))
     got = edges.groupBy("dst").agg(F.sum("weight").alias("got"))
     shares = materialise(edges.join(sent, "src").join(got, "dst").select(
         "src", "dst", (F.col("weight") / F.col("sent")).alias("forward"), (F.col("weight") / F.col("got")).alias("backward")), "host-shares")
     none, d = F.lit(0.0), how.damping
-    start = seeds.select("host", ((1 - d) * F.col("trust")).alias("trust"), ((1 - d) * F.col("distrust")).alias("distrust"))
-    scores = start
-    for _ in range(how.steps):
-        forth = shares.join(scores, shares.src == scores.host).select(
-            F.col("dst").alias("host"), (d * F.col("trust") * F.col("forward")).alias("trust"), none.alias("distrust"))
-        back = shares.join(scores, shares.dst == scores.host).select(
-            F.col("src").alias("host"), none.alias("trust"), (d * F.col("distrust") * F.col("backward")).alias("distrust"))
-        scores = materialise(start.unionByName(forth).unionByName(back).groupBy("host").agg(
-            F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")), "host-scores")
-    return scores
-
-
-def judge_pages(pages: DataFrame, rules: list[Rule], how: Propagation = Propagation()) -> DataFrame:
+    named = lambda host, trust, distrust, more, worse: (
+        host.alias("host"), trust.alias("trust"), distrust.alias("distrust"), more.alias("more"), worse.alias("worse"))
+    host, trust, distrust = F.col("host"), F.col("trust"), F.col("distrust")
+    scores = seeds.select(*named(host, (1 - d) * trust, (1 - d) * distrust, (1 - d) * trust, (1 - d) * distrust))
+    step = 0
+    while how.tolerance is not None or step < how.steps:
+        more, worse = d * F.col("more") * F.col("forward"), d * F.col("worse") * F.col("backward")
+        forth = shares.join(scores.where("more > 0"), shares.src == scores.host).select(*named(F.col("dst"), more, none, more, none))
+        back = shares.join(scores.where("worse > 0"), shares.dst == scores.host).select(*named(F.col("src"), none, worse, none, worse))
+        scores = materialise(scores.select(*named(host, trust, distrust, none, none)).unionByName(forth).unionByName(back).groupBy("host").agg(
+            *[F.sum(c).alias(c) for c in ("trust", "distrust", "more", "worse")]), "host-scores")
+        step += 1
+        if how.tolerance is not None:
+            added = scores.agg(F.greatest(F.sum("more"), F.sum("worse")).alias("added")).first().added
+            if added is None or added < how.tolerance:
+                break
+    return scores.select("host", "trust", "distrust")
+
+
+def judge_pages(pages: DataFrame, rules: list[Rule], how: Propagation = CONVERGED) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict, trust, distrust.
 
     A host's seed is the share of its pages that a rule allows (trust) or blocks (distrust).

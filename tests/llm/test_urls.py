@@ -54,6 +54,22 @@ def test_propagation_equals_power_iteration(spark):
         assert abs(r.trust - want[r.host][0]) < 1e-12 and abs(r.distrust - want[r.host][1]) < 1e-12
 
 
+def test_distrust_reaches_hosts_beyond_eight_links(spark):
+    pages = [(0, "http://bad.com/de/1", "")] + [
+        (k, f"http://h{k}.net/", f'<a href="http://{f"h{k - 1}.net" if k > 1 else "bad.com"}/">') for k in range(1, 20)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: r for r in urls.judge_pages(df, URL_RULES).collect()}
+    for k in range(1, 20):
+        assert abs(got[k].distrust - 0.15 * 0.85**k) < 1e-4 and got[k].verdict == ("block" if k <= 16 else "allow"), k
+
+
+def test_cycles_converge(spark):
+    e = spark.createDataFrame([("a", "b", 1.0), ("b", "a", 1.0)], "src string, dst string, weight double")
+    s = spark.createDataFrame([("a", 0.0, 1.0)], "host string, trust double, distrust double")
+    got = {r.host: r.distrust for r in urls.propagate(e, s, urls.Propagation(tolerance=0.001)).collect()}
+    assert abs(got["a"] - 0.15 / (1 - 0.85**2)) < 0.006 and abs(got["b"] - 0.85 * 0.15 / (1 - 0.85**2)) < 0.006
+
+
 def test_hosts_that_link_to_blocked_hosts_are_blocked(spark):
     link = '<a href="http://Bad.com/de/1">x</a> <a href=//bad.com/de/2>y</a> <a href="/local">z</a>'
     got = judged(spark, [(1, "http://bad.com/de/1", ""), (2, "http://farm.net/1", link), (3, "http://farm.net/2", None), (4, "http://good.net/1", '<a href="http://farm.net/1">')])
