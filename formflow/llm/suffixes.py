@@ -247,6 +247,30 @@ def cluster_extents(entries: list[Entry], shared: list[int], length: int = LENGT
     return best
 
 
+class Cluster:
+    """Entries that share a gram, taken in sorted order: equal surroundings are one member from the start.
+
+    ``shared[i]`` is the prefix that member i shares with member i - 1; ``owners[i]`` are its places.
+    """
+
+    def __init__(self) -> None:
+        self.members: list[Entry] = []
+        self.shared: list[int] = []
+        self.owners: list[set[tuple[bytes, int]]] = []
+        self._number: dict[tuple[bytes, bytes], int] = {}
+        self._since = LENGTH
+
+    def add(self, entry: Entry, shared: int) -> None:
+        self._since = min(self._since, shared)
+        k = self._number.setdefault(entry[:2], len(self.members))
+        if k == len(self.members):
+            self.members.append(entry)
+            self.shared.append(self._since)
+            self.owners.append(set())
+            self._since = LENGTH
+        self.owners[k].add(entry[2:])
+
+
 def _runs(buckets: int):
     def flush(entries: dict[int, list[Entry]]) -> pa.RecordBatch:
         blocks = [(b, encode_run(sorted(e))) for b, e in entries.items()]
@@ -286,23 +310,9 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names.clear(), starts.clear(), ends.clear()
         return rows
 
-    def settle(entries: list[Entry], shared: list[int]) -> None:
-        """Equal surroundings of different places are one member of the cluster, covered as far as they reach."""
-        number: dict[tuple[bytes, bytes], int] = {}
-        members: list[Entry] = []
-        prefix: list[int] = []
-        owners: list[set[tuple[bytes, int]]] = []
-        since = LENGTH
-        for entry, r in zip(entries, shared):
-            since = min(since, r)
-            k = number.setdefault(entry[:2], len(members))
-            if k == len(members):
-                members.append(entry)
-                prefix.append(since)
-                owners.append(set())
-                since = LENGTH
-            owners[k].add(entry[2:])
-        for (right, left, _, _), own, (l, r) in zip(members, owners, cluster_extents(members, prefix)):
+    def settle(cluster: Cluster) -> None:
+        """Equal surroundings of different places are covered as far as they reach."""
+        for (right, left, _, _), own, (l, r) in zip(cluster.members, cluster.owners, cluster_extents(cluster.members, cluster.shared)):
             if len(own) > 1 and len(left) + len(right) >= LENGTH:
                 l, r = len(left), len(right)
             if r:
@@ -312,19 +322,16 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     ends.append(at + r)
 
     def bucket(blocks: list[bytes]) -> Iterator[pa.RecordBatch]:
-        entries: list[Entry] = []
-        shared: list[int] = []
+        cluster = Cluster()
         for entry, r in merge_runs([decode_run(b) for b in blocks]):
-            if r < GRAM and entries:
-                if len(entries) > 1:
-                    settle(entries, shared)
-                entries, shared = [], []
+            if r < GRAM and cluster.members:
+                settle(cluster)
+                cluster = Cluster()
                 if len(names) > 100_000:
                     yield out()
-            entries.append(entry)
-            shared.append(r)
-        if len(entries) > 1:
-            settle(entries, shared)
+            cluster.add(entry, r)
+        if cluster.members:
+            settle(cluster)
 
     now, blocks = None, []
     for batch in batches:

@@ -107,3 +107,11 @@ def test_edge_cases(spark):
     assert len(copies) == 3 and all([(s.start, s.end) for s in r.removed] == [(0, r.n_bytes)] for r in copies)
     assert all(r.n_bytes == 0 and not r.removed for r in rows if r.doc_id in (2, 3))
     assert suffixes.repeated_spans(cases.documents(spark, [])).isEmpty()
+
+
+def test_a_cluster_holds_equal_surroundings_once():
+    cluster = suffixes.Cluster()
+    for i in range(1000):
+        cluster.add((b"s" * 400, b"l" * 10, b"%016d" % i, i), 0 if i == 0 else 400)
+    cluster.add((b"t" * 400, b"l" * 10, b"x" * 16, 5), 64)
+    assert len(cluster.members) == 2 and [len(o) for o in cluster.owners] == [1000, 1] and cluster.shared == [0, 64]
