@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from formflow.llm import chat, decontamination, language, minhash, packing, quality, secrets, sql, suffixes, urls, warc
+from formflow.llm import alignment, balanced, chat, decontamination, language, minhash, packing, quality, secrets, sql, suffixes, urls, warc, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -107,3 +107,20 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = warc.write_archives(table(spark, sf_dir, "pages"))
     return warc.read_archives(spark, archives, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.align(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@query()
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"), components=8)
+    return found.select("vec_id", "component", "n", F.col("deviation").cast("long").alias("deviation"), "whitened", "explained", "identity_error")
+
+
+@query()
+def op13_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balanced.pack_balanced(table(spark, sf_dir, "documents"), tokenizer_path(), capacity=2048)
