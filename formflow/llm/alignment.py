@@ -38,6 +38,7 @@ from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache, reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +50,7 @@ from formflow.session import materialise
 
 RANGE, FAN_IN, LONG_SEGMENT = 1 << 16, 8, 1 << 12
 #: Bytes of text of a block, and of one step within it; segments that a worker keeps.
-BLOCK, STEP, KEPT_SEGMENTS = 8 << 20, 1 << 20, 600_000
+BLOCK, STEP, KEPT_SEGMENTS = 4 << 20, 1 << 20, 250_000
 SEGMENT = re.compile(r"[ \n]\s*\S*(?:[^\S \n]\s*\S*)*")
 
 Ids = tuple[int, ...]
@@ -99,6 +100,18 @@ def fragment(a: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_ends: np.ndarra
     return a0, *mid[0], a1, b0, *mid[1], b1, True
 
 
+def _flat(lists: list) -> tuple[np.ndarray, np.ndarray]:
+    """The items of all lists, and the lists' lengths."""
+    n = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.int64, int(n.sum())), n
+
+
+def _per_list(ids: list[list[int]], size: np.ndarray) -> np.ndarray:
+    """Sum of the tokens' sizes in each list."""
+    flat, n = _flat(ids)
+    return np.diff(np.r_[0, np.cumsum(size[flat])][np.r_[0, np.cumsum(n)]])
+
+
 # --- the two tokenizers ---------------------------------------------------------------------------------------------------
 
 
@@ -154,44 +167,36 @@ class Pair:
                 b[i] = b[i][1:] if b[i][0] == self.space else [0]
         return a, b
 
-    def same_bytes(self, ids: list[int], names: list[bytes], text: bytes) -> bool:
-        return b"".join([names[i] for i in ids]) == text
-
     def learn(self, segments: list[str]) -> None:
         """Encode segments not met before and keep what they give."""
         a, b = self.encode(segments)
         raw = [s.encode() for s in segments]
-        whole = b"".join(raw)
-        sizes = np.array([len(x) for x in raw], dtype=np.int64)
-        total = lambda ids, size: np.add.reduceat(np.r_[size[np.fromiter((i for x in ids for i in x), np.int64)], 0], np.cumsum([0] + [len(x) for x in ids[:-1]]))
-        easy = all(map(len, a)) and all(map(len, b)) and self.same_bytes([i for x in a for i in x], self.a_bytes, whole) and \
-            self.same_bytes([i for x in b for i in x], self.b_bytes, whole) and (total(a, self.a_size) == sizes).all() and (total(b, self.b_size) == sizes).all()
-        good = [True] * len(raw) if easy else [self.same_bytes(x, self.a_bytes, r) and self.same_bytes(y, self.b_bytes, r) for x, y, r in zip(a, b, raw)]
+        whole, sizes = b"".join(raw), np.fromiter(map(len, raw), np.int64, len(raw))
+        sides = ((a, self.a_bytes, self.a_size), (b, self.b_bytes, self.b_size))
+        easy = all(b"".join(map(names.__getitem__, chain.from_iterable(ids))) == whole and (_per_list(ids, size) == sizes).all() for ids, names, size in sides)
+        good = [True] * len(raw)
         if not easy:
+            good = [all(b"".join([names[i] for i in ids[k]]) == text for ids, names, _ in sides) for k, text in enumerate(raw)]
             a, b = ([x if g else [] for x, g in zip(ids, good)] for ids in (a, b))
-        done = self.closed(a, b)
-        for s in segments:
-            self.known[s] = len(self.known)
+        (fa, n_a), (fb, n_b) = _flat(a), _flat(b)
+        done = self.closed(fa, n_a, fb, n_b)
+        self.known.update(zip(segments, range(len(self.known), len(self.known) + len(segments))))
         self.text += done["text"]
         self.ok += bytes(good)
-        for ids, at, kept in ((a, self.a_at, self.a_ids), (b, self.b_at, self.b_ids)):
-            for x in ids:
-                kept.extend(x)
-                at.append(len(kept))
-        self.n_a.extend(map(len, a))
-        self.n_b.extend(map(len, b))
-        self.n_groups.extend(done["n_groups"].tolist())
+        for ids, n, kept, at, number in ((fa, n_a, self.a_ids, self.a_at, self.n_a), (fb, n_b, self.b_ids, self.b_at, self.n_b)):
+            kept.frombytes(ids.astype(np.int32).tobytes())
+            at.frombytes((at[-1] + np.cumsum(n)).tobytes())
+            number.frombytes(n.astype(np.int32).tobytes())
+        self.n_groups.frombytes(done["n_groups"].astype(np.int32).tobytes())
         self.pairs.frombytes(done["pairs"].tobytes())
         self.pairs_at.frombytes((done["pairs_at"][1:] + self.pairs_at[-1]).tobytes())
 
-    def closed(self, a: list, b: list) -> dict:
-        """For runs of whole groups (ids of A, ids of B, equal bytes): number of groups, their text, their id pairs."""
-        n_a, n_b = (np.array([len(x) for x in ids], dtype=np.int64) for ids in (a, b))
-        flat = lambda ids: np.concatenate([np.asarray(x, dtype=np.int64) for x in ids]) if len(ids) else np.zeros(0, np.int64)
-        fa, fb = flat(a), flat(b)
+    def closed(self, fa: np.ndarray, n_a: np.ndarray, fb: np.ndarray, n_b: np.ndarray) -> dict:
+        """For runs of whole groups (ids of A and of B, run after run, and the runs' lengths; equal bytes): number of groups,
+        their text, their id pairs."""
         if not len(fa):
-            zeros = np.zeros(len(a), np.int64)
-            return {"n_groups": zeros, "text": [b""] * len(a), "pairs": np.zeros(0, np.int64), "pairs_at": np.zeros(len(a) + 1, np.int64)}
+            zeros = np.zeros(len(n_a), np.int64)
+            return {"n_groups": zeros, "text": [b""] * len(n_a), "pairs": np.zeros(0, np.int64), "pairs_at": np.zeros(len(n_a) + 1, np.int64)}
         a_ends, b_ends = np.cumsum(self.a_size[fa]), np.cumsum(self.b_size[fb])
         ends = np.union1d(a_ends, b_ends)
         ia, ib = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
@@ -312,7 +317,7 @@ def _short_blocks(a_path: str, b_path: str):
                     parts.append(flat[a:b])
                 ids.append(batch.column("doc_id"))
                 held += sum(map(len, filter(None, texts)))
-                if held >= BLOCK or len(pair.known) > 2 * KEPT_SEGMENTS:
+                if held >= BLOCK or len(pair.known) > KEPT_SEGMENTS:
                     held = 0
                     yield done()
         if parts:
@@ -443,7 +448,7 @@ def _long_blocks(a_path: str, b_path: str):
             for start in range(0, batch.num_rows, 64):
                 part = batch.slice(start, 64)
                 a, b = part.column("pa").to_pylist(), part.column("pb").to_pylist()
-                done = pair.closed(a, b)
+                done = pair.closed(*_flat(a), *_flat(b))
                 counts = {"n_a": list(map(len, a)), "n_b": list(map(len, b)), "n_groups": done["n_groups"], "n_links": np.diff(done["pairs_at"])}
                 yield _block(blocks.number(), part.column("doc_id"), part.column("doc_key").to_pylist(), counts, [None] * len(a),
                              np.arange(len(a) + 1), np.arange(len(a)), done["pairs_at"], done["pairs"])
@@ -465,7 +470,7 @@ def _digested(a_path: str, b_path: str):
                     at, digest = r["doc_key"], hashlib.sha256()
                 else:
                     digest.update(b";")
-                digest.update(pair.closed([r["pa"]], [r["pb"]])["text"][0])
+                digest.update(pair.closed(*_flat([r["pa"]]), *_flat([r["pb"]]))["text"][0])
         if at is not None:
             yield row()
 
