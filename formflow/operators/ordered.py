@@ -4,8 +4,13 @@ Row numbers, running counts and fill-down depend on the order of all rows. A
 window without PARTITION BY (or over one hot key) would run in a single task, so
 the rows are cut into blocks of consecutive order values: an ordinary window
 works inside each block, and a summary of at most one row per block and key
-carries the state from one block to the next. The number of blocks follows the
-number of rows, ``BLOCK_ROWS`` to a block on average.
+carries the state from one block to the next.
+
+Blocks are of equal depth, not of equal width: the rows are range-partitioned by
+the sequence, whose bounds Spark takes from a sample of its values, and written
+once with the number of their partition. A sequence in which nearly all rows lie
+in a small part of its range (a bulk load among daily entries) gives blocks of
+the same size, and the input is read once for all steps.
 
 ``order_col`` is an integer ingest sequence without ties.
 """
@@ -16,20 +21,15 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-BLOCK_ROWS = 100_000
-
+from formflow.session import materialise
 
-def with_block(df: DataFrame, order_col: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Add ``_block``: equal-width ranges of the sequence, from a scalar subquery on its bounds and size.
 
-    Decimal arithmetic keeps sequences of any 64-bit range from overflowing.
-    """
-    order = F.col(order_col).cast("bigint")
-    wide = lambda c: c.cast("decimal(20,0)")
-    bounds = df.agg(F.struct(F.min(order).alias("lo"), F.max(order).alias("hi"), F.count(order).alias("n"))).scalar()
-    blocks = F.ceil(bounds["n"] / block_rows)
-    width = F.ceil((wide(bounds["hi"]) - wide(bounds["lo"]) + 1) / F.greatest(blocks, F.lit(1)))
-    return df.withColumn("_block", F.floor((wide(order) - wide(bounds["lo"])) / width).cast("bigint"))
+def with_block(df: DataFrame, order_col: str, blocks: int | None = None) -> DataFrame:
+    """Written copy of the rows with ``_block``, rising with the sequence: ``blocks`` of them, by default as many as
+    the session has shuffle partitions, small ones put together."""
+    number = [] if blocks is None else [blocks]
+    dealt = df.repartitionByRange(*number, F.col(order_col).cast("bigint").asc_nulls_first())
+    return materialise(dealt.withColumn("_block", F.spark_partition_id().cast("bigint")), "ordered-blocks")
 
 
 def _attach(blocked: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -47,22 +47,21 @@ def _before(keys: Sequence[str]):
 
 def ordered_columns(
     df: DataFrame, order_col: str, *, fills: Mapping[str, Column] | None = None, counts: Mapping[str, Column] | None = None,
-    keys: Sequence[str] = (), block_rows: int = BLOCK_ROWS,
+    keys: Sequence[str] = (), blocks: int | None = None,
 ) -> DataFrame:
     """Several order-dependent columns over one blocking of the rows.
 
     fills   {output: value}      last non-NULL value up to and including this row
     counts  {output: condition}  number of rows so far for which the condition holds
 
-    The input is read for its bounds, for the summary and for the rows: ask for
-    all columns in one call, and write an expensive input to a table first.
+    The rows are written once per call: ask for all columns in one.
     """
     fills, counts = fills or {}, counts or {}
     rows = df.withColumns({
         **{f"_v_{c}": v for c, v in fills.items()},
         **{f"_n_{c}": F.when(cond, 1).otherwise(0) for c, cond in counts.items()},
     })
-    blocked = with_block(rows, order_col, block_rows)
+    blocked = with_block(rows, order_col, blocks)
     summary = blocked.groupBy(*keys, "_block").agg(
         *[F.max_by(f"_v_{c}", F.when(F.col(f"_v_{c}").isNotNull(), F.col(order_col))).alias(f"_v_{c}") for c in fills],
         *[F.sum(f"_n_{c}").alias(f"_n_{c}") for c in counts],
@@ -82,18 +81,18 @@ def ordered_columns(
     return out.drop("_block", *[f"_v_{c}" for c in fills], *[f"_n_{c}" for c in counts], *[f"_c_{c}" for c in names])
 
 
-def row_number(df: DataFrame, order_col: str, out: str = "sequence_id", block_rows: int = BLOCK_ROWS) -> DataFrame:
+def row_number(df: DataFrame, order_col: str, out: str = "sequence_id", blocks: int | None = None) -> DataFrame:
     """Dense number 1..n in sequence order."""
-    return ordered_columns(df, order_col, counts={out: F.lit(True)}, block_rows=block_rows)
+    return ordered_columns(df, order_col, counts={out: F.lit(True)}, blocks=blocks)
 
 
-def running_count(df: DataFrame, order_col: str, condition: Column, out: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def running_count(df: DataFrame, order_col: str, condition: Column, out: str, blocks: int | None = None) -> DataFrame:
     """Number of rows up to and including this one for which ``condition`` holds."""
-    return ordered_columns(df, order_col, counts={out: condition}, block_rows=block_rows)
+    return ordered_columns(df, order_col, counts={out: condition}, blocks=blocks)
 
 
 def fill_down(
-    df: DataFrame, order_col: str, value: Column, out: str, keys: Sequence[str] = (), block_rows: int = BLOCK_ROWS,
+    df: DataFrame, order_col: str, value: Column, out: str, keys: Sequence[str] = (), blocks: int | None = None,
 ) -> DataFrame:
     """Last non-NULL ``value`` up to and including this row, per key."""
-    return ordered_columns(df, order_col, fills={out: value}, keys=keys, block_rows=block_rows)
+    return ordered_columns(df, order_col, fills={out: value}, keys=keys, blocks=blocks)

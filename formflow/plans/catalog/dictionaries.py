@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from formflow.operators import dictionary
 from formflow.plans import views
-from formflow.plans.fixtures import RUN_DATE, RUN_TS, fixture, oracle
+from formflow.plans.fixtures import RUN_DATE, RUN_TS, fixture, oracle, table
 from formflow.plans.registry import query
 from formflow.session import work_dir
-from formflow.sources import read_dictionary
+from formflow.sources import read_dictionary, read_report_names
 
 PREFIXES = {'<div class="rich"><p>Long red': "Long red section", '<div class="rich"><p>Long': "Long section"}
 REPORT_TYPES = {"3.1.1": ["brand_1", "brand_2", "brand_3"], "3.1.2": ["brand_4", "brand_5"], "3.1.3": ["brand_6"]}
@@ -63,9 +63,20 @@ def mart_dictionary(spark, d):
     return views.dictionary_mart(dict_build(spark, d))
 
 
-@query("mart_report_names", oracle(f"select *, '{RUN_TS}' as created_on from fx_report_names"))
+_SEED_NAMES = """
+select distinct concat('rep-', lower(replace(p_brand, '#', '_'))) as report_view_name, concat('v', substring(p_brand, 7)) as report_view_id,
+       cast(substring(p_brand, 7) as tinyint) as report_sequence, concat('u/', substring(p_brand, 7), '?case=') as report_uri,
+       case when cast(substring(p_brand, 7) as int) % 2 = 0 then 'Header, "quoted"' end as report_uri_header, '3.1' as package_type
+from part"""
+
+
+@query("mart_report_names", oracle(f"select *, '{RUN_TS}' as created_on from ({_SEED_NAMES})"))
 def mart_report_names(spark, d):
-    return views.report_name_mart(fixture(spark, d, "fx_report_names"), F.lit(RUN_TS))
+    """One report per brand, landed as a seed file with NULL written out, read with declared types."""
+    path = work_dir(spark, "report-names")
+    table(spark, d, "part").createOrReplaceTempView("part")
+    spark.sql(_SEED_NAMES).write.options(header=True, escape='"', nullValue="NULL").csv(path)
+    return views.report_name_mart(read_report_names(spark, path), F.lit(RUN_TS))
 
 
 @query("dict_form_sequence", oracle("""

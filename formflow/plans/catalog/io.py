@@ -46,6 +46,47 @@ def src_json_bad_lines(spark, d):
     return sources.bad_json_lines(spark.read.text(path))
 
 
+_ODD_TEXT = """case when field_name = 'priority' then concat(value, ' } "', record, '" {\\') else value end as value"""
+
+
+def _land_arrays(rows, path):
+    """What a form server delivers: files of one JSON array each, here of 2,000 records."""
+    chunk = F.floor(F.col("record").cast("bigint") / 2000).alias("chunk")
+    objects = rows.select(chunk, F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("o"))
+    array = F.concat(F.lit("[\n "), F.array_join(F.collect_list("o"), ",\n "), F.lit("\n]\n"))
+    objects.groupBy("chunk").agg(array.alias("value")).write.partitionBy("chunk").text(path)
+
+
+@query("src_json_array", oracle(f"select record, site_id, field_name, {_ODD_TEXT} from ox_eav"))
+def src_json_array(spark, d):
+    """EAV export as JSON arrays whose texts hold braces, quotes and backslashes."""
+    path = work_dir(spark, "eav-arrays")
+    _land_arrays(inputs.eav(spark, d).select("record", "site_id", "field_name", F.expr(_ODD_TEXT.replace("\\", "\\\\"))), path)
+    return sources.read_eav_json(spark, path, array_files=True).select(*EAV4)
+
+
+@query("src_json_array_flat", oracle("select record, site_id, field_name, value from ox_eav"))
+def src_json_array_flat(spark, d):
+    """Flat export as JSON arrays: same rows as from lines."""
+    path = work_dir(spark, "flat-arrays")
+    _land_arrays(fixture(spark, d, "fx_flat"), path)
+    return reshape.decode_multiselect(sources.read_flat_json(spark, path, array_files=True)).select(*EAV4)
+
+
+@query("src_csv_multiline", """
+select cast(row_number() over (order by o_orderkey) as bigint) as row_seq, cast(o_orderkey as varchar) as field_name,
+       concat(o_orderstatus, chr(10), 'said "', o_orderpriority, '", twice', chr(10)) as field_label
+from orders""")
+def src_csv_multiline(spark, d):
+    """Dictionary CSV with line breaks and quotes in every row, in file order."""
+    path = work_dir(spark, "multiline-csv")
+    label = F.concat("o_orderstatus", F.lit('\nsaid "'), "o_orderpriority", F.lit('", twice\n'))
+    rows = table(spark, d, "orders").select("o_orderkey", F.col("o_orderkey").cast("string").alias("field_name"), label.alias("field_label"))
+    ordered = rows.repartitionByRange(4, "o_orderkey").sortWithinPartitions("o_orderkey").drop("o_orderkey")
+    ordered.write.options(header=True, escape='"', quoteAll=True, ignoreTrailingWhiteSpace=False).csv(path)
+    return sources.read_dictionary(spark, path).select("row_seq", "field_name", "field_label")
+
+
 @query("src_partitioned_parts", oracle("select record, site_id, field_name, value from ox_eav"))
 def src_partitioned_parts(spark, d):
     path = work_dir(spark, "eav-parts")

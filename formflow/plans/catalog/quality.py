@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from formflow.operators import digest, quality, reshape
+from formflow.operators import digest, fingerprints, quality, reshape
 from formflow.plans.catalog import inputs
 from formflow.plans.fixtures import RUN_DATE, RUN_TS, fixture, oracle, table
-from formflow.plans.registry import query
+from formflow.plans.registry import ORACLES, query
+from formflow.session import materialise
 
 REPEAT_COLS = ["case_id", "repeat_instrument", "repeat_instance", "field_name", "field_value", "created_on", "is_deleted"]
 
@@ -87,6 +88,23 @@ def dq_equivalence(spark, d):
     return quality.compare(a, a.withColumn("value", changed))
 
 
+@query("dq_equivalence_tree", ORACLES["dq_equivalence"])
+def dq_equivalence_tree(spark, d):
+    """The same figures by a hash tree: rows move only from buckets that differ."""
+    a = materialise(inputs.eav(spark, d), "compared")
+    return fingerprints.compare_tree(a, a.withColumn("value", F.expr(_CHANGED.removesuffix(" as value"))), ["record", "field_name"]).figures
+
+
+@query("dq_differing_rows", oracle(f"""
+select record, site_id, field_name, value, cast(sum(n) as bigint) as left_surplus from (
+  select record, site_id, field_name, value, 1 as n from ox_eav
+  union all select record, site_id, field_name, {_CHANGED}, -1 from ox_eav)
+group by record, site_id, field_name, value having sum(n) <> 0"""))
+def dq_differing_rows(spark, d):
+    a = materialise(inputs.eav(spark, d), "compared")
+    return fingerprints.compare_tree(a, a.withColumn("value", F.expr(_CHANGED.removesuffix(" as value")))).differing
+
+
 @query("dq_equivalence_rewrite", oracle("""
 select count(*) as left_rows, count(*) as right_rows, cast(0 as bigint) as only_left, cast(0 as bigint) as only_right, 1 as equal from ox_eav"""))
 def dq_equivalence_rewrite(spark, d):
@@ -95,6 +113,13 @@ def dq_equivalence_rewrite(spark, d):
     return quality.compare(reshape.decode_multiselect(reshape.unpivot_eav(flat)), reshape.wide_to_eav(flat))
 
 
+@query("dq_equivalence_tree_equal", ORACLES["dq_equivalence_rewrite"])
+def dq_equivalence_tree_equal(spark, d):
+    """Two forms of one query, equal: fingerprints only."""
+    flat = fixture(spark, d, "fx_flat")
+    return fingerprints.compare_tree(reshape.decode_multiselect(reshape.unpivot_eav(flat)), reshape.wide_to_eav(flat)).figures
+
+
 @query("dq_profile_equivalence", oracle("""
 select c as column_name, n as left_rows, k as left_nulls, m as right_rows, j as right_nulls, cast(n = m and k = j as integer) as passed
 from (select count(*) as n, count(*) filter (case_id is null) as a, count(*) filter (repeat_instance is null) as b from fx_repeat_mart) l,

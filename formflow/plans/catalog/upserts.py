@@ -9,7 +9,8 @@ from formflow.operators.upsert import MergeSpec
 from formflow.plans.catalog import inputs
 from formflow.plans.fixtures import RUN_TS, fixture, oracle
 from formflow.plans.registry import query
-from formflow.session import materialise
+from formflow.session import materialise, work_dir
+from formflow.sinks.buckets import BucketedMart
 
 KEYS = ("case_id", "kind", "site")
 INSERTS = {
@@ -225,3 +226,21 @@ def snapshot_soft_delete(spark, d):
     return upsert.snapshot_merge(
         fixture(spark, d, "fx_snapshot_target"), fixture(spark, d, "fx_snapshot_source"), SNAP_KEYS, inputs.run_ts(), ["site_id"]
     )
+
+
+# Record numbers, in stretches of which every seventh changes between the two runs: some leave, some come.
+_NUMBER = "cast(substring(case_id, 5, 5) as bigint)"
+_MOVED = f"mod(cast(floor({_NUMBER} / 1000) as bigint), 7) = 0 and mod({_NUMBER}, 10)"
+
+
+@query("snapshot_buckets", oracle(f"""
+select id, site_id, case_id, field_name, field_value, created_on, '{RUN_TS}' as last_updated,
+       case when {_MOVED} = 0 then 1 else 0 end as is_deleted
+from fx_snapshot_source"""))
+def snapshot_buckets(spark, d):
+    """Two runs of a mart kept in buckets of 1,000 record numbers; the second rewrites the changed ones only."""
+    rows = materialise(fixture(spark, d, "fx_snapshot_source"), "snapshot-source")
+    mart = BucketedMart(work_dir(spark, "bucketed-mart"), SNAP_KEYS, buckets=100, bucket_of=f"floor({_NUMBER} / 1000)", blank_is_null=["site_id"])
+    mart.refresh(rows.where(f"not ({_MOVED} = 9)"), "2024-01-01 00:00:00")
+    mart.refresh(rows.where(f"not ({_MOVED} = 0)"), RUN_TS)
+    return mart.read(spark)

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from formflow.functions import clean_header
 from formflow.operators.reshape import explode_eav
 from formflow.schemas import DICTIONARY_CSV, EAV, REPORT_NAMES, ExportLayout
+from formflow.sources import splits
 
 # RFC 4180 quoting: a quote inside a quoted cell is doubled.
 _CSV = {"header": True, "escape": '"', "quote": '"', "encoding": "UTF-8"}
@@ -17,22 +18,28 @@ _CSV = {"header": True, "escape": '"', "quote": '"', "encoding": "UTF-8"}
 def read_eav_json(spark: SparkSession, path: str, layout: ExportLayout = ExportLayout(), array_files: bool = False) -> DataFrame:
     """Landed EAV-mode export, everything as text.
 
-    One object per line is splittable; ``array_files`` reads files that hold one
-    JSON array each (one task per file). A broken object fails the read.
+    Files hold one object per line or, with ``array_files``, one JSON array each;
+    both are read by as many tasks as they have splits. A broken object fails the read.
     """
     landed = "".join(f", `{src}` string" for src in layout.optional.values())
     schema = f"`{layout.record}` string{landed}, field_name string, value string"
-    raw = spark.read.schema(schema).option("multiLine", array_files).option("mode", "FAILFAST").json(path)
+    if array_files:
+        parsed = F.from_json("value", schema, {"mode": "FAILFAST"})
+        raw = splits.json_array_objects(spark, path).select(parsed.alias("o")).select("o.*")
+    else:
+        raw = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
     renamed = {"record": layout.record, **layout.optional, "field_name": "field_name", "value": "value"}
     return raw.select(*[F.col(f"`{src}`").alias(out) for out, src in renamed.items()])
 
 
-def read_flat_json(spark: SparkSession, path: str, layout: ExportLayout = ExportLayout()) -> DataFrame:
-    """Landed flat-mode export (one JSON object per line) as EAV rows, before multi-select decode.
+def read_flat_json(spark: SparkSession, path: str, layout: ExportLayout = ExportLayout(), array_files: bool = False) -> DataFrame:
+    """Landed flat-mode export as EAV rows, before multi-select decode: one JSON object per line or,
+    with ``array_files``, one JSON array per file.
 
     A line that is no JSON object fails the read; ``bad_json_lines`` counts such lines beforehand.
     """
-    return explode_eav(spark.read.text(path), layout)
+    lines = splits.json_array_objects(spark, path).select("value") if array_files else spark.read.text(path)
+    return explode_eav(lines, layout)
 
 
 def bad_json_lines(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -57,21 +64,23 @@ def read_parts(spark: SparkSession, path: str) -> DataFrame:
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
     """Dictionary CSV (multi-line cells, optional BOM), all text, with ``row_seq`` in file order.
 
-    A multi-line file is read by one task in order, so position is counted per
-    file; files of one directory follow each other by name. The offsets come from
-    one row per file.
+    A file is read by as many tasks as it has splits (``splits.csv_records``);
+    files of one directory follow each other by name. Only one row per split
+    goes through the windows that number the records.
     """
-    raw = spark.read.options(**_CSV, multiLine=True, mode="FAILFAST").csv(path)
+    header = spark.read.options(**_CSV, multiLine=True).csv(path).columns
+    records = splits.csv_records(spark, path)
+    per_file = records.groupBy("file").agg((F.max("row") - 1).alias("n"))
+    before = F.sum("n").over(W.orderBy("file").rowsBetween(W.unboundedPreceding, -1))
+    offsets = per_file.select("file", F.coalesce(before, F.lit(0)).alias("offset"))
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    cells = F.from_csv("value", F.lit(schema.toDDL()), {"quote": '"', "escape": '"', "multiLine": "true", "mode": "FAILFAST"})
+    numbered = records.where("row > 1").join(offsets, "file")
+    rows = numbered.select(cells.alias("c"), (F.col("row") - 1 + F.col("offset")).cast("bigint").alias("row_seq")).select("c.*", "row_seq")
     for field in DICTIONARY_CSV.fields:
-        if field.name not in raw.columns:
-            raw = raw.withColumn(field.name, F.lit(None).cast("string"))
-    rows = raw.withColumns({"_file": F.col("_metadata.file_path"), "_pos": F.monotonically_increasing_id()})
-    per_file = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
-    before = F.sum("_n").over(W.orderBy("_file").rowsBetween(W.unboundedPreceding, -1))
-    offsets = per_file.select("_file", F.coalesce(before, F.lit(0)).alias("_offset"))
-    inside = F.row_number().over(W.partitionBy("_file").orderBy("_pos"))
-    numbered = rows.join(F.broadcast(offsets), "_file")
-    return numbered.withColumn("row_seq", (inside + F.col("_offset")).cast("bigint")).drop("_file", "_pos", "_offset")
+        if field.name not in header:
+            rows = rows.withColumn(field.name, F.lit(None).cast("string"))
+    return rows.select(*[c for c in rows.columns if c != "row_seq"], "row_seq")
 
 
 def read_report_names(spark: SparkSession, path: str) -> DataFrame:

@@ -175,6 +175,6 @@ def test_sequences_of_any_width(spark):
 
     step = 5 * 10**17
     df = spark.createDataFrame([(-(2**63) + i * step, i) for i in range(36)], "at long, i int")
-    for size in (1, 5, 100_000):
-        out = ordered.ordered_columns(df, "at", counts={"n": F.lit(True)}, fills={"even": F.when(F.col("i") % 2 == 0, F.col("i"))}, block_rows=size)
+    for size in (36, 7, 1):
+        out = ordered.ordered_columns(df, "at", counts={"n": F.lit(True)}, fills={"even": F.when(F.col("i") % 2 == 0, F.col("i"))}, blocks=size)
         assert rows(out.select("i", "n", "even"), "i") == [(i, i + 1, i - i % 2) for i in range(36)]

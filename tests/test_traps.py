@@ -210,8 +210,8 @@ def test_report_names_seed(spark, tmp_path):
 # --- order-dependent columns ----------------------------------------------------------------
 
 
-@pytest.mark.parametrize("block_rows", [500, 167, 72, 2])
-def test_blocked_windows_equal_plain_windows(spark, block_rows):
+@pytest.mark.parametrize("blocks", [1, 3, 7, 250])
+def test_blocked_windows_equal_plain_windows(spark, blocks):
     df = spark.range(1, 500).select(
         "id", F.when(F.col("id") % 11 == 0, F.col("id")).alias("v"),
         F.when(F.col("id") % 3 < 2, "hot").when(F.col("id") % 5 == 0, None).otherwise("cold").alias("k"))
@@ -219,9 +219,9 @@ def test_blocked_windows_equal_plain_windows(spark, block_rows):
     want = spark.sql("""select id, last_value(v) ignore nulls over (order by id) a, last_value(v) ignore nulls over (partition by k order by id) b,
         count_if(v is not null) over (order by id) c, row_number() over (order by id) d from ord""")
     whole = ordered.ordered_columns(
-        df, "id", fills={"a": F.col("v")}, counts={"c": F.col("v").isNotNull(), "d": F.lit(True)}, block_rows=block_rows)
+        df, "id", fills={"a": F.col("v")}, counts={"c": F.col("v").isNotNull(), "d": F.lit(True)}, blocks=blocks)
     assert rows(whole.select("id", "a", "c", "d"), "id") == rows(want.select("id", "a", "c", "d"), "id")
-    keyed = ordered.fill_down(df, "id", F.col("v"), "b", keys=["k"], block_rows=block_rows)
+    keyed = ordered.fill_down(df, "id", F.col("v"), "b", keys=["k"], blocks=blocks)
     assert rows(keyed.select("id", "b"), "id") == rows(want.select("id", "b"), "id")
 
 
