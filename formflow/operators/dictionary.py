@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from formflow.operators import ordered
+from formflow.operators.reshape import to_width
 
 # Width of the stored section header and the CSV's column names.
 HEADER_WIDTH = 200
@@ -21,14 +22,14 @@ CSV_COLUMNS = {
 }
 
 
-def build(main: DataFrame, append: DataFrame, file_name: str, created_on: Column, report_type: Column | None = None) -> DataFrame:
+def build(main: DataFrame, append: DataFrame, file_name: str, created_on: Column, report_type: Column | None = None, overlong: str = "cut") -> DataFrame:
     """Typed dictionary table of a main CSV followed by an append CSV.
 
     Both inputs come from ``sources.read_dictionary`` and carry ``row_seq``. The
-    main file's headers are cut to the stored width; blank or absent numbers
+    main file's headers are cut to the stored width (or fail, see ``to_width``); blank or absent numbers
     become 0; the sequence runs on through the append file.
     """
-    main = main.withColumn("Section Header", F.substring(F.col("Section Header"), 1, HEADER_WIDTH))
+    main = main.withColumn("Section Header", to_width("Section Header", HEADER_WIDTH, overlong))
     parts = [(main, 0), (append, 1)]
     rows = None
     for df, part in parts:

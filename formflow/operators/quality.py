@@ -80,6 +80,16 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     return counts.unpivot(["row_count"], names, "column_name", "null_count").select("column_name", "row_count", "null_count")
 
 
+def overlong_values(df: DataFrame, widths: Mapping[str, int | None]) -> DataFrame:
+    """What a projection to the widths would cut: (column_name, width, overlong, longest) per column with a width, one scan."""
+    limited = {c: n for c, n in widths.items() if n}
+    size = {c: F.length(F.col(c).cast("string")) for c in limited}
+    counts = df.agg(*[F.struct(
+        F.lit(c).alias("column_name"), F.lit(n).alias("width"), F.count_if(size[c] > n).alias("overlong"),
+        F.coalesce(F.max(size[c]), F.lit(0)).alias("longest")).alias(f"c{i}") for i, (c, n) in enumerate(limited.items())])
+    return counts.select(F.inline(F.array(*counts.columns)))
+
+
 def compare(left: DataFrame, right: DataFrame) -> DataFrame:
     """Bag equality of two results in one shuffle: (left_rows, right_rows, only_left, only_right, equal).
 

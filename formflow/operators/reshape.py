@@ -148,14 +148,26 @@ def to_layout(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     return df.select(*[F.col(src).alias(out) for out, src in columns.items()])
 
 
-def typed_projection(df: DataFrame, widths: Mapping[str, int | None], run_ts: Column, deleted: int = 0) -> DataFrame:
-    """Mart projection: text cut to its declared width, plus the audit columns.
+def to_width(c: str, width: int | None, overlong: str = "cut") -> Column:
+    """Text of at most ``width`` characters. A longer one is cut or, with ``overlong="fail"``, fails the job.
 
-    The cut is explicit because Spark's ``cast as varchar(n)`` keeps the whole text.
+    The cut is explicit because Spark's ``cast as varchar(n)`` keeps the whole text. ``quality.overlong_values`` counts what
+    it would take away.
     """
-    cols = [
-        (F.substring(F.col(c), 1, n) if n else F.col(c)).cast("string").alias(c) for c, n in widths.items()
-    ]
+    if overlong not in ("cut", "fail"):
+        raise ValueError(f"overlong must be 'cut' or 'fail', not {overlong!r}")
+    if not width:
+        return F.col(c)
+    cut = F.substring(F.col(c), 1, width)
+    if overlong == "cut":
+        return cut
+    message = F.concat(F.lit(f"{c} is longer than {width} characters: "), F.col(c))
+    return F.when(F.length(c) > width, F.raise_error(message).cast("string")).otherwise(F.col(c))
+
+
+def typed_projection(df: DataFrame, widths: Mapping[str, int | None], run_ts: Column, deleted: int = 0, overlong: str = "cut") -> DataFrame:
+    """Mart projection: text of the declared widths (``to_width``), plus the audit columns."""
+    cols = [to_width(c, n, overlong).cast("string").alias(c) for c, n in widths.items()]
     return df.select(*cols, run_ts.alias("last_updated"), F.lit(deleted).cast("int").alias("is_deleted"))
 
 

@@ -17,13 +17,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from formflow.functions import null_safe_key, reshuffled
 from formflow.session import materialise
 
 KEEP, UPDATE, INSERT = "keep", "update", "insert"
 DUPLICATE, MISSING, DELETE = "duplicate", "missing", "delete"
+ACTIONS = (KEEP, UPDATE, INSERT, DUPLICATE, MISSING, DELETE)
 
 # States of the active flag.
 ACTIVE, INACTIVE_DUPLICATE, INACTIVE_MISSING = 1, 0, 2
@@ -205,6 +206,12 @@ def action_counts(versioned: DataFrame) -> DataFrame:
     )
 
 
+def counts_row(per_action: Mapping[str, int]) -> Row:
+    """The figures of ``action_counts`` from rows per action that were counted while writing."""
+    n = lambda a: per_action.get(a, 0)
+    return Row(merged=n(UPDATE) + n(INSERT), inserted=n(INSERT), updated=n(UPDATE), deactivated_duplicates=n(DUPLICATE), deactivated_missing=n(MISSING))
+
+
 def apply_upsert(
     target: DataFrame, source: DataFrame, spec: MergeSpec, *, missing_keys: Sequence[str], scope: str,
     duplicate_keys: Sequence[str] | None = None, duplicate_order: Sequence[str] = (), stamps: Mapping[str, str] | None = None,

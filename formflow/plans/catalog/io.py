@@ -11,6 +11,7 @@ from formflow.plans.fixtures import fixture, oracle, table
 from formflow.plans.registry import query
 from formflow.schemas import EAV_COLUMNS
 from formflow.session import work_dir
+from formflow.sources import zones
 
 EAV4 = ["record", "site_id", "field_name", "value"]
 
@@ -95,6 +96,14 @@ def src_partitioned_parts(spark, d):
     return sources.read_parts(spark, path).select(*EAV4)
 
 
+@query("src_record_batch", oracle("select record, site_id, field_name, value from ox_eav where record between '20' and '3999'"))
+def src_record_batch(spark, d):
+    """A range of records from part files, of which the zone map opens the ones it needs."""
+    path = work_dir(spark, "zoned-parts")
+    zones.write_zoned_parts(inputs.eav(spark, d), path, files=32)
+    return zones.read_records(spark, path, "20", "3999").select(*EAV4)
+
+
 @query("src_record_ids", oracle("select distinct record from fx_flat"))
 def src_record_ids(spark, d):
     return sources.record_ids(spark, _land_flat(spark, d))

@@ -120,6 +120,16 @@ def dq_equivalence_tree_equal(spark, d):
     return fingerprints.compare_tree(reshape.decode_multiselect(reshape.unpivot_eav(flat)), reshape.wide_to_eav(flat)).figures
 
 
+_WIDTHS = {"case_id": 9, "repeat_instance": 3, "field_value": 8}
+
+
+@query("dq_overlong_values", oracle(" union all ".join(
+    f"select '{c}' as column_name, {n} as width, count(*) filter (length({c}) > {n}) as overlong, "
+    f"cast(coalesce(max(length({c})), 0) as integer) as longest from fx_repeat_mart" for c, n in _WIDTHS.items())))
+def dq_overlong_values(spark, d):
+    return quality.overlong_values(inputs.repeat_mart(spark, d), _WIDTHS)
+
+
 @query("dq_profile_equivalence", oracle("""
 select c as column_name, n as left_rows, k as left_nulls, m as right_rows, j as right_nulls, cast(n = m and k = j as integer) as passed
 from (select count(*) as n, count(*) filter (case_id is null) as a, count(*) filter (repeat_instance is null) as b from fx_repeat_mart) l,

@@ -17,7 +17,7 @@ from formflow.functions import IdRule, matches_pattern, row_id
 from formflow.operators import digest, enrich, quality, upsert
 from formflow.operators.upsert import MergeSpec
 from formflow.session import materialise
-from formflow.sinks import Snapshot, overwrite_staging
+from formflow.sinks import Snapshot, overwrite_staging, overwrite_staging_counted
 
 
 @dataclass(frozen=True)
@@ -34,12 +34,14 @@ def stage_case_project(
     rule: IdRule = matches_pattern(),
 ) -> StagedProject:
     """Enrich, validate, exclude and overwrite the staging table; an empty export is a no-op."""
-    if eav.isEmpty():
+    offered = eav.count()
+    if not offered:
         return StagedProject(None, None, None)
     load = enrich.load_case_rows(eav, case_field, catchment_prefix, rule)
     keys = ["site_id", "catchment_id", "report_id", "case_id", "field_name", "field_value"]
-    staged = overwrite_staging(load.rows.withColumn("id", row_id(*keys)), path)
-    return StagedProject(staged, load.warnings, quality.load_counts(staged, eav, table).first())
+    staged, loaded = overwrite_staging_counted(load.rows.withColumn("id", row_id(*keys)), path)
+    counts = Row(table_name=table, source_rows=offered, loaded_rows=loaded, filtered_rows=offered - loaded, skipped=int(loaded == 0))
+    return StagedProject(staged, load.warnings, counts)
 
 
 def stage_repeat_project(eav: DataFrame, path: str, run_ts: datetime) -> DataFrame | None:
@@ -92,11 +94,8 @@ def refresh_snapshot(
     current = snapshot.current(spark)
     if current is None:
         first = upsert.snapshot_initial(staging, F.lit(run_ts)).withColumn("_action", F.lit(upsert.INSERT))
-        snapshot.publish(first, run_ts)
-    else:
-        snapshot.publish(upsert.snapshot_merge(current, staging, keys, F.lit(run_ts), blank_is_null), run_ts)
-    counts = snapshot.changes(spark).groupBy("_action").count().collect()
-    return {r["_action"]: r["count"] for r in counts}
+        return snapshot.publish_counted(first, run_ts, upsert.ACTIONS)
+    return snapshot.publish_counted(upsert.snapshot_merge(current, staging, keys, F.lit(run_ts), blank_is_null), run_ts, upsert.ACTIONS)
 
 
 def run_upsert(
@@ -118,8 +117,7 @@ def run_upsert(
         target, source, spec, missing_keys=missing_keys, scope=scope, duplicate_keys=duplicate_keys,
         duplicate_order=duplicate_order, stamps=stamps, written=written,
     )
-    snapshot.publish(new, run_ts)
-    return upsert.action_counts(snapshot.changes(spark)).first()
+    return upsert.counts_row(snapshot.publish_counted(new, run_ts, upsert.ACTIONS))
 
 
 def run_digest(root: str, warnings: DataFrame, today: date) -> DataFrame | None:

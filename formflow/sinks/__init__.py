@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 # Everything quoted and NULL spelled out, so that NULL, '' and blanks survive the round trip.
 _CSV = {
@@ -33,6 +34,13 @@ def overwrite_staging(df: DataFrame, path: str, partition_by: tuple[str, ...] =
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def overwrite_staging_counted(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> tuple[DataFrame, int]:
+    """``overwrite_staging`` and the number of rows, observed while they are written."""
+    counts = Observation()
+    staged = overwrite_staging(df.observe(counts, F.count(F.lit(1)).alias("rows")), path, partition_by)
+    return staged, counts.get["rows"]
+
+
 def overwrite_staging_jdbc(df: DataFrame, url: str, table: str, batch_size: int = 1000) -> None:
     """The same into a database table, kept in place (truncate) and filled in batches."""
     df.write.format("jdbc").mode("overwrite").options(url=url, dbtable=table, truncate=True, batchsize=batch_size).save()
@@ -105,5 +113,16 @@ class Snapshot:
         row.write.mode("append").json(f"{self.root}/versions")
         return v
 
+    def publish_counted(self, df: DataFrame, published_at: datetime, actions: Sequence[str]) -> dict[str, int]:
+        """Publish, and return the rows per ``_action`` as they were written: nothing is read back.
+
+        The counts are observed on the last step of the plan, in the tasks that write. Spark takes such a task's counts
+        once per partition, so a retried or repeated task adds nothing.
+        """
+        counts = Observation()
+        each = [F.count_if(F.col("_action") == a).alias(a) for a in actions]
+        self.publish(df.observe(counts, *each), published_at)
+        return {a: n for a, n in counts.get.items() if n}
+
     def _path(self, v: int) -> str:
         return f"{self.root}/data/version={v:08d}"
