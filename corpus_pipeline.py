@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from formflow.llm import decontamination, minhash, packing, quality, secrets
 from formflow.llm.queries import table, tokenizer_path
-from formflow.session import materialise
+from formflow.session import intermediates, materialise
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,8 +48,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for number, (_, stage) in enumerate(STAGES, 1):
-        docs = stage(spark, docs, sf_dir)
-        if number < len(STAGES):
-            docs = materialise(docs, f"pipeline-{number}")
-    return docs
+    for number, (_, stage) in enumerate(STAGES[:-1], 1):
+        with intermediates(spark):  # a stage's own tables go once its result is written
+            docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{number}", keep=True)
+    return STAGES[-1][1](spark, docs, sf_dir)

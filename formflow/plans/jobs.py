@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 from formflow.functions import IdRule, matches_pattern, row_id
 from formflow.operators import digest, enrich, quality, upsert
 from formflow.operators.upsert import MergeSpec
-from formflow.session import materialise
+from formflow.session import intermediates, materialise
 from formflow.sinks import Snapshot, overwrite_staging, overwrite_staging_counted
 
 
@@ -113,11 +113,12 @@ def run_upsert(
     target = snapshot.current(spark)
     if target is None:
         target = spark.createDataFrame([], schema)
-    new = upsert.apply_upsert(
-        target, source, spec, missing_keys=missing_keys, scope=scope, duplicate_keys=duplicate_keys,
-        duplicate_order=duplicate_order, stamps=stamps, written=written,
-    )
-    return upsert.counts_row(snapshot.publish_counted(new, run_ts, upsert.ACTIONS))
+    with intermediates(spark):  # the steps' tables go once the version is published
+        new = upsert.apply_upsert(
+            target, source, spec, missing_keys=missing_keys, scope=scope, duplicate_keys=duplicate_keys,
+            duplicate_order=duplicate_order, stamps=stamps, written=written,
+        )
+        return upsert.counts_row(snapshot.publish_counted(new, run_ts, upsert.ACTIONS))
 
 
 def run_digest(root: str, warnings: DataFrame, today: date) -> DataFrame | None:

@@ -6,10 +6,15 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_BASE: dict[str, str] = {}
+#: The innermost scope's folders, and the scope around it.
+_SCOPE: ContextVar[tuple | None] = ContextVar("intermediates", default=None)
 
 
 def build_session(app: str = "formflow", master: str | None = None, **conf: str) -> SparkSession:
@@ -52,12 +57,41 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, purpose: str) -> DataFrame:
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``materialise`` writes inside are deleted at the end, also after a failure.
+
+    What is used afterwards must be written by then: an output, a published version, or a table materialised with
+    ``keep=True``, which belongs to the scope around this one.
+    """
+    outer, own = _SCOPE.get(), []
+    token = _SCOPE.set((own, outer))
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        for path in own:
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    """Through Hadoop's file system, so that any shared store will do."""
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def materialise(df: DataFrame, purpose: str, keep: bool = False) -> DataFrame:
     """Write ``df`` once and read it back, for sources that are used several times.
 
-    The written table survives the loss of executors and cuts the lineage.
+    The written table survives the loss of executors and cuts the lineage. Inside ``intermediates`` it is deleted at the
+    end, unless it is to be kept.
     """
     spark = df.sparkSession
-    path = work_dir(spark, purpose)
+    path, scope = work_dir(spark, purpose), _SCOPE.get()
+    if keep and scope is not None:
+        scope = scope[1]
+    if scope is not None:
+        scope[0].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -1,12 +1,15 @@
 """Counts taken while writing, width limits, zone maps."""
 
+import uuid
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from formflow import session
 from formflow.operators import quality, reshape, upsert
-from formflow.plans import views
+from formflow.plans import jobs, views
+from formflow.session import intermediates, materialise
 from formflow.sinks import Snapshot, overwrite_staging_counted
 from formflow.sources import zones
 
@@ -71,3 +74,40 @@ def test_batches_cover_all_records_once(spark, tmp_path):
     ranges = zones.batches(map_, 2000)
     assert len(ranges) > 3 and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
     assert sum(zones.read_records(spark, path, *r).count() for r in ranges) == 20_000
+
+
+# --- intermediate tables --------------------------------------------------------------------------------------------------
+
+
+@pytest.fixture
+def work(tmp_path, monkeypatch):
+    """The work folder, as a place to look into."""
+    folder = tmp_path / "work"
+    folder.mkdir()
+    monkeypatch.setattr(session, "work_dir", lambda spark, purpose: f"file://{folder}/{purpose}-{uuid.uuid4().hex}")
+    return lambda: sorted(p.name.rsplit("-", 1)[0] for p in folder.iterdir())
+
+
+def test_intermediate_tables_go_with_their_scope(spark, work):
+    loose = materialise(spark.range(3), "loose")
+    with intermediates(spark):
+        with intermediates(spark):
+            materialise(spark.range(5), "inner")
+            kept = materialise(spark.range(7), "kept", keep=True)
+        assert work() == ["kept", "loose"] and kept.count() == 7
+        last = materialise(kept, "last", keep=True)
+    assert work() == ["last", "loose"] and last.count() == 7 and loose.count() == 3
+    with pytest.raises(ZeroDivisionError), intermediates(spark):
+        materialise(spark.range(5), "failed")
+        raise ZeroDivisionError
+    assert work() == ["last", "loose"]
+
+
+def test_an_upsert_leaves_its_version_only(spark, tmp_path, work):
+    source = spark.createDataFrame([("1", "a"), ("2", "b")], "k string, v string")
+    spec = upsert.MergeSpec(("k",), updates={"v": "s.v"}, inserts={"k": "s.k", "v": "s.v", "active": "1"})
+    snapshot = Snapshot(str(tmp_path / "s"))
+    schema = spark.createDataFrame([], "k string, v string, active int").schema
+    for _ in range(2):
+        counts = jobs.run_upsert(snapshot, source, schema, spec, AT, missing_keys=["k"], scope="active = 1")
+    assert (counts.inserted, counts.updated) == (0, 2) and work() == [] and snapshot.current(spark).count() == 2
