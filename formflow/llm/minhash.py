@@ -38,7 +38,7 @@ from formflow.llm.bitmaps import bitmap_of, collected, held
 from formflow.llm.columns import row_key
 from formflow.llm.components import connected_components
 from formflow.llm.hashing import run_hashes, word_hashes
-from formflow.session import materialise
+from formflow.session import intermediates, materialise
 
 SKETCH, SHARED = 64, 30
 #: log2 of the number of counters in the frequency table.
@@ -283,17 +283,19 @@ def near_duplicates(docs: DataFrame, ids: list[str], order: str, size: int = 5,
     The component is the smallest value of the column ``order`` (one of ``ids``) in the row's component; a row with an
     empty set has its own value.
     """
-    source = docs.select(*ids, F.col("text").cast("string").alias("text"))
-    kinds = ", ".join(f"`{c}` {t}" for c, t in source.dtypes if c != "text")
-    rows = materialise(source.mapInArrow(_sketches(size), kinds + ", n long, print binary, sketch array<long>"), "minhash-rows")
-    classes = rows.where("n > 0").groupBy("print").agg(F.min(order).alias("least"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-    classes = materialise(classes.withColumn("cls", F.monotonically_increasing_id()), "minhash-classes")
-    roots = link_classes(classes, source.select("text"), size, percent)
-    placed = classes.join(roots, classes.cls == roots.node, "left").select("print", "least", F.coalesce("root", "cls").alias("root"))
-    smallest = placed.groupBy("root").agg(F.min("least").alias("component")).withColumnRenamed("root", "__root")
-    named = materialise(placed.join(smallest, placed.root == smallest["__root"]).select(F.col("print").alias("__print"), "component"), "minhash-components")
-    full = rows.where("n > 0").join(named, F.col("print") == F.col("__print")).select(*ids, "n", "print", "component")
-    return full.unionByName(rows.where("n = 0").select(*ids, "n", "print", F.col(order).alias("component")))
+    with intermediates(docs.sparkSession):
+        source = docs.select(*ids, F.col("text").cast("string").alias("text"))
+        kinds = ", ".join(f"`{c}` {t}" for c, t in source.dtypes if c != "text")
+        rows = materialise(source.mapInArrow(_sketches(size), kinds + ", n long, print binary, sketch array<long>"), "minhash-rows")
+        classes = rows.where("n > 0").groupBy("print").agg(F.min(order).alias("least"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+        classes = materialise(classes.withColumn("cls", F.monotonically_increasing_id()), "minhash-classes")
+        roots = link_classes(classes, source.select("text"), size, percent)
+        placed = classes.join(roots, classes.cls == roots.node, "left").select("print", "least", F.coalesce("root", "cls").alias("root"))
+        smallest = placed.groupBy("root").agg(F.min("least").alias("component")).withColumnRenamed("root", "__root")
+        named = materialise(placed.join(smallest, placed.root == smallest["__root"]).select(F.col("print").alias("__print"), "component"), "minhash-components")
+        full = rows.where("n > 0").join(named, F.col("print") == F.col("__print")).select(*ids, "n", "print", "component")
+        out = full.unionByName(rows.where("n = 0").select(*ids, "n", "print", F.col(order).alias("component")))
+        return materialise(out, "minhash-out", keep=True)
 
 
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -303,6 +305,7 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """
     keyed = docs.select(F.struct("*").alias("__row"), "doc_id", "text", row_key("doc_id", "text").alias("__key"))
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("__key").alias("key"))
-    found = near_duplicates(keyed.select(order.alias("__order"), "text"), ["__order"], "__order", size, percent)
-    kept = materialise(found.where("__order = component").select(F.col("__order.key").alias("__key")).distinct(), "minhash-kept")
+    with intermediates(docs.sparkSession):
+        found = near_duplicates(keyed.select(order.alias("__order"), "text"), ["__order"], "__order", size, percent)
+        kept = materialise(found.where("__order = component").select(F.col("__order.key").alias("__key")).distinct(), "minhash-kept", keep=True)
     return keyed.join(kept, "__key", "left_semi").dropDuplicates(["__key"]).select("__row.*")

@@ -91,8 +91,9 @@ def repeated_words(words: Column) -> Column:
     return let(windows(words), count).cast("long")
 
 
-def with_statistics(docs: DataFrame, stratum: str | None = "lang") -> DataFrame:
-    """``docs`` as one struct ``__row``, its base counts and the statistics of the rules. Reads whole texts."""
+def with_statistics(docs: DataFrame, stratum: str | None = "lang", numbered: bool = False) -> DataFrame:
+    """``docs`` as one struct ``__row``, its base counts and the statistics of the rules, and ``__at``, a row number, if
+    wanted. Reads whole texts."""
     text, words, lines = F.col("__text"), F.col("__words"), F.col("__lines")
     base = wrapped(docs).withColumn("__text", text_of("__row.text"))
     base = base.withColumns({
@@ -100,7 +101,7 @@ def with_statistics(docs: DataFrame, stratum: str | None = "lang") -> DataFrame:
         "__lines": F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(" \t\n\x0b\x0c\r")) != ""),
     })
     base = base.select(
-        "__row",
+        "__row", *([F.monotonically_increasing_id().alias("__at")] if numbered else []),
         (F.col(f"__row.{stratum}").cast("string") if stratum else F.lit(None).cast("string")).alias("stratum"),
         F.size(words).cast("long").alias("n_words"),
         F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
@@ -184,7 +185,10 @@ def judge_documents(docs: DataFrame, labels: DataFrame, stratum: str | None = "l
 
 def keep_good(docs: DataFrame, labels: DataFrame, stratum: str | None = "lang", how: Risk = Risk()) -> DataFrame:
     """The documents that are kept, with their own columns."""
-    statistics = with_statistics(docs, stratum)
-    numbers = statistics.select(F.col("__row.doc_id").alias("doc_id"), "stratum", "base_failed", *how.rules)
+    # The row number keeps Catalyst from moving the filters below the statistics, where they would be worked out once more
+    # for every use: no filter passes a step that numbers rows.
+    statistics = with_statistics(docs, stratum, numbered=True)
+    numbered = F.col("__at") >= 0
+    numbers = statistics.where(numbered & ~F.col("base_failed")).select(F.col("__row.doc_id").alias("doc_id"), "stratum", "base_failed", *how.rules)
     cutoffs = materialise(calibrate(numbers, labels, how), "quality-cutoffs")
-    return unwrapped(judged(statistics, cutoffs, how).where("kept"))
+    return unwrapped(judged(statistics, cutoffs, how).where(numbered & F.col("kept")))

@@ -84,3 +84,12 @@ def test_edge_cases(spark):
     empty = cases.documents(spark, [])
     assert quality.judge_documents(empty, labels).isEmpty() and quality.keep_good(empty, labels.limit(0)).isEmpty()
     assert quality.keep_good(docs, labels.limit(0)).count() == kept.count()
+
+
+def test_statistics_are_worked_out_once_a_pass(spark):
+    """No filter is moved below the statistics: the word windows occur in one place of the plan."""
+    docs = cases.documents(spark)
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    plan = quality.keep_good(docs, labels)._jdf.queryExecution().optimizedPlan().toString()
+    once = quality.with_statistics(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("zip_with") == once.count("zip_with") > 0
