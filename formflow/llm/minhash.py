@@ -11,7 +11,8 @@ A document's set holds the hashes of its distinct word shingles; its sketch is t
 3. Pairs. A list gives no pairs of its members: each member meets the list's pivots (its most typical, least typical,
    first and last class). A class is first checked against the pivot it shares most lists with, then the pivots still in
    other components. Classes of lists that still span several components then meet on their full sets: exact counts rule
-   out each class and pair with too many values of its own, and the others meet in the rarest values (``remaining_pairs``).
+   out each class with too many values of its own, and the others meet in the rarest values, where their places and parity
+   words rule out most pairs that are not similar (``remaining_pairs``).
    So a group of n near copies costs in the order of n checks, and no link between components is lost.
 4. Check. The sketch of the union estimates the similarity and drops pairs more than six standard deviations below the
    threshold; the others are confirmed on their full sets.
@@ -27,6 +28,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +46,9 @@ from formflow.session import intermediates, materialise
 SKETCH, SHARED = 64, 30
 #: log2 of the number of counters in the frequency table.
 COUNTER_BITS = 20
+#: 64-bit words of parities of a full set.
+PARITY_WORDS = 8
+PARITIES = [f"parity_{i}" for i in range(PARITY_WORDS)]
 
 
 def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -216,31 +222,54 @@ def confirm(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int, p
 
 def _values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for cls, members in zip(batch.column("cls").to_pylist(), batch.column("members")):
+        for cls, root, members in zip(batch.column("cls").to_pylist(), batch.column("root").to_pylist(), batch.column("members")):
             own = np.frombuffer(members.as_buffer(), dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), cls)), pa.array(own)], ["cls", "value"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), cls)), pa.array(np.full(len(own), root)), pa.array(own)], ["cls", "root", "value"])
+
+
+def parities(members: np.ndarray) -> np.ndarray:
+    """``PARITY_WORDS`` words of bits: bit i tells whether an odd number of members falls into slot i."""
+    bits = 64 * PARITY_WORDS
+    odd = np.bincount((members & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
+def _parity_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            words = np.stack([parities(np.frombuffer(m.as_buffer(), dtype=np.uint64)) for m in batch.column("members")])
+            yield pa.RecordBatch.from_arrays([batch.column("cls"), *(pa.array(w) for w in np.ascontiguousarray(words.T))], ["cls", *PARITIES])
 
 
 def remaining_pairs(open_classes: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """(a, b): all pairs of the open classes (cls, root) that may be similar and have different roots.
 
-    Exact, on full sets and their counts among the open classes. A class whose values mostly occur nowhere else cannot be
-    similar to any other: with s shared values of n, two classes have at most min(s) of max(n) in common. Those left meet in
-    the rarest values of both, of which a similar pair shares one (the prefix of n - 0.8 n + 1 values).
+    Exact, on full sets. Values that one root alone holds are in no such pair's intersection. With s other values of n, two
+    classes have at most min(s) in common. Classes that may reach the threshold with that meet in the rarest values of both,
+    of which a similar pair shares one (the prefix of n - 0.8 n + 1 values). A pair stays if it may still be similar where it
+    meets: if a value is the first that both have, they share at most it and what follows it in both; and as their sets
+    differ in at least as many members as their parity words differ in bits, these bound what is common as well. A similar
+    pair passes all three bounds at its first common value.
     """
     wanted = open_classes.join(classes.select("cls", "print", "n"), "cls")
-    values = materialise(full_sets(wanted, texts, size).mapInArrow(_values, "cls long, value long"), "minhash-values")
-    counts = materialise(values.groupBy("value").agg(F.count("*").alias("df")).where("df > 1"), "minhash-counts")
-    shared = materialise(values.join(counts, "value"), "minhash-shared")
-    sums = shared.groupBy("cls").agg(F.count("*").alias("s")).join(wanted.select("cls", "n", "root"), "cls")
-    sums = materialise(sums.where(100 * F.col("s") >= percent * F.col("n")), "minhash-possible")
+    sets = full_sets(wanted, texts, size)
+    placed = sets.join(open_classes.select("cls", "root"), "cls")
+    values = materialise(placed.mapInArrow(_values, "cls long, root long, value long"), "minhash-values")
+    several = F.min("root") != F.max("root")
+    counts = materialise(values.groupBy("value").agg(F.count("*").alias("df"), several.alias("several")).where("several").drop("several"), "minhash-counts")
+    shared = materialise(values.drop("root").join(counts, "value"), "minhash-shared")
+    sums = shared.groupBy("cls").agg(F.count("*").alias("s")).join(wanted.select("cls", "n", "root"), "cls").where(100 * F.col("s") >= percent * F.col("n"))
+    words = sets.mapInArrow(_parity_rows, "cls long, " + ", ".join(f"{c} long" for c in PARITIES))
+    sums = materialise(sums.join(words, "cls"), "minhash-possible")
     nth = F.row_number().over(Window.partitionBy("cls").orderBy("df", "value")) + F.col("n") - F.col("s")
     lists = shared.join(sums, "cls").withColumn("nth", nth).where(F.col("nth") <= F.col("n") - F.ceil(percent * F.col("n") / 100) + 1)
-    lists = materialise(lists.select("value", "cls", "n", "s", "root"), "minhash-rare")
-    other = lists.select("value", *[F.col(c).alias(f"o_{c}") for c in ("cls", "n", "s", "root")])
-    most = F.least("s", "o_s")
-    possible = 100 * most >= percent * (F.col("n") + F.col("o_n") - most)
-    met = lists.join(other, "value").where((F.col("cls") < F.col("o_cls")) & (F.col("root") != F.col("o_root")) & possible)
+    own = ["cls", "n", "s", "root", "nth", *PARITIES]
+    lists = materialise(lists.select("value", *own), "minhash-rare")
+    other = lists.select("value", *[F.col(c).alias(f"o_{c}") for c in own])
+    differ = reduce(add, (F.bit_count(F.col(c).bitwiseXOR(F.col(f"o_{c}"))) for c in PARITIES))
+    both = F.col("n") + F.col("o_n")
+    most = F.least(F.least("s", "o_s").cast("long"), 1 + F.least(F.col("n") - F.col("nth"), F.col("o_n") - F.col("o_nth")), F.shiftright(both - differ, 1))
+    met = lists.join(other, "value").where((F.col("cls") < F.col("o_cls")) & (F.col("root") != F.col("o_root")) & (100 * most >= percent * (both - most)))
     return _ordered(met, "cls", "o_cls")
 
 

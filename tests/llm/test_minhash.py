@@ -2,6 +2,7 @@ import random
 import re
 
 import cases
+import numpy as np
 from pyspark.sql import functions as F
 
 from formflow.llm import minhash
@@ -75,6 +76,33 @@ def test_large_group_of_near_copies_is_one_component(spark):
     assert all(got[i] == want[i] for i in range(401)) and {got[i] for i in range(401, 600)} == {want[400]}
 
 
+def test_parities_bound_the_difference():
+    rng = np.random.default_rng(4)
+    for n, changed in ((3, 1), (50, 10), (400, 80), (5000, 900)):
+        a = rng.integers(0, 2**63, n, dtype=np.uint64)
+        b = np.r_[a[changed:], rng.integers(0, 2**63, changed + 2, dtype=np.uint64)]
+        differing = int(np.bitwise_count(minhash.parities(a) ^ minhash.parities(b)).sum())
+        assert differing <= 2 * changed + 2 and (n > 400 or differing >= 2 * changed * 0.7)
+
+
+def test_remaining_pairs_miss_none_around_the_threshold(spark):
+    rng = random.Random(12)
+    texts = []
+    for g in range(4):
+        base = [f"g{g}_{i}" for i in range(rng.choice((40, 120, 260)))]
+        texts += [" ".join(edited(rng, base, rng.randrange(1, 2 + len(base) // 20))) for _ in range(30)]
+    sets = [shingles(t, 5) for t in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = docs.mapInArrow(minhash._sketches(5), "doc_id long, n long, print binary, sketch array<long>")
+    classes = rows.select(F.col("doc_id").alias("cls"), "n", "print", "sketch")
+    for groups in (1, 3, 10**6):
+        opened = classes.select("cls", (F.col("cls") % groups).alias("root"))
+        got = {(r.a, r.b) for r in minhash.remaining_pairs(opened, classes, docs.select("text"), 5, 80).collect()}
+        apart = {(i, j) for j in range(len(texts)) for i in range(j) if i % groups != j % groups}
+        want = {(i, j) for i, j in apart if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+        assert want <= got <= apart and (groups == 1 or len(got) < 1.5 * len(want))
+
+
 def test_contraction(spark):
     rng = random.Random(5)
     edges = [(i, i + 1) for i in range(300)] + [(rng.randrange(1000, 1200), rng.randrange(1000, 1200)) for _ in range(120)] + [(2000, i) for i in range(2001, 2100)] + [(5, 5)]
