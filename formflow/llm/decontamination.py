@@ -1,9 +1,10 @@
 """Benchmark decontamination with spaced-seed hashing.
 
-A mask looks at some of ``SPAN`` consecutive tokens and ignores the others. Each position is ignored by one of the masks,
-so any window with one substituted token, and many with more, still has a seed equal to that of the original. Seeds of test
-items and of training documents are joined; around each hit both token sequences are compared without gaps, and the longest overlap is reported
-of which ``MIN_OVERLAP`` tokens (all of a shorter item's) and a share of ``MIN_SHARE`` are equal. Stretches compared
+A mask looks at six of up to ``SPAN`` consecutive tokens and ignores the others. The masks are chosen so that wherever tokens
+are substituted, an overlap of ``MIN_OVERLAP`` equal tokens and a share of ``MIN_SHARE`` keeps a seed (a test works out for
+each length the fewest substitutions that leave none). Seeds of test items and of training documents are joined; around each
+hit both token sequences are compared without gaps, and the longest overlap is reported of which ``MIN_OVERLAP`` tokens (all
+of a shorter item's) and a share of ``MIN_SHARE`` are equal. Stretches compared
 around several hits are chained; they end ``REACH`` tokens beyond the outermost seeds, so two passages with more than
 twice as many tokens without a seed between them are two overlaps, of which the better is reported.
 
@@ -13,7 +14,7 @@ Scale. Training seeds first meet a bitmap of the test seeds, at most ``2 ** bitm
 only seeds that may occur in the benchmark are shuffled, each with its surroundings, so texts never are. The bitmap only
 saves shuffling: the join decides. Test seeds are a written table, so a seed that very many documents share is split.
 
-Edge cases: null and empty texts have no tokens; an item with fewer than ``SPAN`` tokens cannot be found and a document
+Edge cases: null and empty texts have no tokens; an item with fewer than ``SHORTEST`` tokens cannot be found and a document
 with fewer is clean; rows with a null doc_id are reported under null, test rows with a null item_id under a null item;
 repeated documents with one id give one row per item; empty tables give an empty result; further columns are ignored.
 """
@@ -34,8 +35,10 @@ from formflow.llm.columns import row_key
 from formflow.llm.hashing import run_hashes, word_hashes
 from formflow.session import materialise
 
-SPAN = 9
-MASKS = ((1, 2, 4, 5, 7, 8), (0, 2, 3, 5, 6, 8), (0, 1, 3, 4, 6, 7))
+SPAN = 11
+MASKS = ((0, 1, 3, 4, 6, 7), (0, 2, 3, 5, 6, 8), (0, 1, 2, 6, 9, 10), (0, 2, 6, 7, 8, 9))
+#: Tokens of the shortest text with a seed.
+SHORTEST = 1 + min(mask[-1] for mask in MASKS)
 #: Tokens carried on each side of a seed, for verification; what lies further is known from further seeds.
 REACH = 32
 MIN_OVERLAP, MIN_SHARE = 12, 0.8
@@ -55,8 +58,6 @@ def _seeds(bits: int, bitmap: np.ndarray | None):
                 short = (words >> np.uint64(32)).astype(np.int64).astype(np.int32)
                 for number, mask in enumerate(MASKS):
                     seeds, at = run_hashes(words, owner, mask, number)
-                    whole_window = at + SPAN - 1 < (first + per_text)[owner[at]]
-                    seeds, at = seeds[whole_window], at[whole_window]
                     if bitmap is not None:
                         hit = held(seeds, bits, bitmap)
                         seeds, at = seeds[hit], at[hit]

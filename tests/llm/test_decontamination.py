@@ -20,9 +20,38 @@ def found(spark, docs, items):
     return {(r.doc_id, r.item_id): r for r in decontamination.leaks(d, b).collect()}
 
 
-def test_masks_ignore_every_place_once():
-    ignored = [i for m in decontamination.MASKS for i in range(decontamination.SPAN) if i not in m]
-    assert sorted(ignored) == list(range(decontamination.SPAN))
+def fewest_substitutions(masks, upto):
+    """For each length the fewest substituted tokens with which no mask finds its tokens equal; one bit per token passed."""
+    wide = max(m[-1] for m in masks)
+    looked_at = [sum(1 << (m[-1] - p) for p in m) for m in masks]
+    passed = np.arange(1 << wide)
+    cost = np.where(passed == passed[-1], 0, 10**6)
+    for _ in range(upto):
+        following = np.full(len(passed), 10**6)
+        for bit in (0, 1):
+            window = 2 * passed + bit
+            hidden = np.all([(window & m) != 0 for m in looked_at], axis=0)
+            np.minimum.at(following, window & passed[-1], np.where(hidden, cost + bit, 10**6))
+        cost = following
+        yield int(cost.min())
+
+
+def test_every_accepted_overlap_keeps_a_seed():
+    for length, fewest in enumerate(fewest_substitutions(decontamination.MASKS, 300), start=1):
+        if length >= decontamination.MIN_OVERLAP:
+            assert fewest > min(length - decontamination.MIN_OVERLAP, int(length * (1 - decontamination.MIN_SHARE) + 1e-9)), length
+
+
+def test_substituted_overlaps_are_found(spark):
+    rng = random.Random(21)
+    items, docs = [], []
+    for length in (15, 16, 20, 25, 30, 40):
+        for k in range(40):
+            item = words(1000 * length + k, length)
+            places = range(3, length, 4) if k == 0 and length < 20 else rng.sample(range(1, length - 1), length // 5)
+            items.append(" ".join(item))
+            docs.append(" ".join(words(k, 30) + [f"s{i}" if i in places else t for i, t in enumerate(item)] + words(k + 1, 30)))
+    assert {(i, i) for i in range(len(items))} <= found(spark, docs, items).keys()
 
 
 def test_bitmap_never_misses(spark):
@@ -115,7 +144,7 @@ def test_equals_brute_force_on_exact_passages(spark):
                 best = max(best, k)
         return best
 
-    want = {(i, j) for i, d in enumerate(docs) for j, t in enumerate(items) if longest(d, t) >= min(decontamination.MIN_OVERLAP, max(len(t), decontamination.SPAN))}
+    want = {(i, j) for i, d in enumerate(docs) for j, t in enumerate(items) if longest(d, t) >= min(decontamination.MIN_OVERLAP, max(len(t), decontamination.SHORTEST))}
     assert found(spark, map(" ".join, docs), map(" ".join, items)).keys() == want and len(want) > 5
 
 
