@@ -48,11 +48,13 @@ STRONG: dict[str, tuple[str, int]] = {
 }
 WEAK: dict[str, tuple[str, int]] = {
     "account": (rf"({_ACCOUNT}{_IS})([A-Za-z0-9@+/_.=-]+)", 3),
-    "mixed": (r"()((?<![A-Za-z0-9+/_-])(?!AKIA[A-Z0-9]{16})(?![0-9a-f]{24})[A-Za-z0-9+/_-]{16,})", 16),
-    "endpoint": (r"""((?<![A-Za-z0-9+.-])[A-Za-z][A-Za-z0-9+.-]{0,31}://)([^\x20\x09-\x0D"'<>]+)""", 1),
+    "mixed": (r"((?<![A-Za-z0-9+/_-])(?:AKIA[A-Z0-9]{16,}|[0-9a-f]{24,})?+)([A-Za-z0-9+/_-]{16,})", 16),
+    "endpoint": (r"""((?<![A-Za-z0-9+.-])[A-Za-z][A-Za-z0-9+.-]*+://)([^\x20\x09-\x0D"'<>]+)""", 1),
 }
 KINDS = [*STRONG, *WEAK]
-# A mixed token that starts like a strong span is that span already, as is one inside an assignment.
+# What a mixed token starts with may be a strong span already; only what follows is a candidate. One inside an assignment is none.
+#: Kinds whose spans start with the value, not with the head.
+HEADLESS = {"mixed"}
 #: Kind -> patterns that must all occur in the value.
 HOLDS = {"mixed": ("[0-9]", "[A-Za-z]")}
 #: Kind -> role of its spans.
@@ -71,7 +73,7 @@ def _spans(text: Column, kind: str, pattern: str, least: int) -> Column:
     def step(a: Column, piece: Column) -> Column:
         n, third = F.length(piece), a["i"] % 3
         end = a["at"] + n
-        span = F.struct(a["head"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), end.alias("end"))
+        span = F.struct(a["at" if kind in HEADLESS else "head"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), end.alias("end"))
         fits = reduce(and_, (piece.rlike(p) for p in HOLDS.get(kind, ())), (third == 2) & (n >= least))
         return F.struct(
             (a["i"] + 1).alias("i"), end.alias("at"), F.when(third == 0, end).otherwise(a["head"]).alias("head"),
