@@ -47,7 +47,9 @@ from formflow.session import materialise
 LENGTH, GRAM = 400, 64
 WINDOW = LENGTH - GRAM + 1
 #: Anchors of a bucket on average; bytes of suffixes that a task sorts at a time.
-BUCKET, RUN_BYTES = 40_000, 48 << 20
+BUCKET, RUN_BYTES = 40_000, 24 << 20
+#: Bytes of texts for which anchors are worked out at a time; some 160 bytes of memory for each.
+BLOCK = 1 << 18
 
 Entry = tuple[bytes, bytes, bytes, int]  # suffix, bytes before it backwards, print of the text, place
 
@@ -82,6 +84,17 @@ def anchors_of(raw: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.nda
     return value[at], text, at - borders[text]
 
 
+def anchors_by_block(raw: np.ndarray, borders: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The anchors of the texts, as ``anchors_of`` has them, in blocks of windows; one of two blocks' windows comes twice."""
+    for start in range(0, max(len(raw) - LENGTH + 1, 0), BLOCK):
+        end = min(len(raw), start + BLOCK + LENGTH - 1)
+        inside = np.unique(np.clip(borders, start, end))
+        value, text, at = anchors_of(raw[start:end], inside - start)
+        at = at + inside[text]
+        text = np.searchsorted(borders, at, side="right") - 1
+        yield value, text, at - borders[text]
+
+
 def _raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     _, borders, data = column.buffers()
     borders = np.frombuffer(borders, dtype=np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
@@ -99,12 +112,13 @@ def _once_a_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for batch in slices(whole, "text"):
-            value, text, at = anchors_of(*_raw(batch.column("text")))
-            if len(at):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(value.view(np.int64)), batch.column("print").take(pa.array(text)), pa.array(at.astype(np.int32))], ["gram", "print", "at"])
+    """Anchors of the texts, each distinct text of a task once."""
+    for batch in _once_a_task(batches):
+        for some in slices(batch, "text"):
+            for value, text, at in anchors_by_block(*_raw(some.column("text"))):
+                if len(at):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(value.view(np.int64)), some.column("print").take(pa.array(text)), pa.array(at.astype(np.int32))], ["gram", "print", "at"])
 
 
 def shared_prefix(a: bytes, b: bytes, known: int = 0) -> int:
@@ -379,8 +393,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     named = docs.select("doc_id", text.alias("text")).withColumn("sha", F.sha2("text", 256))
     named = named.withColumn("print", F.unhex(F.substring("sha", 1, 32)))
     rows = materialise(named.select("doc_id", "sha", "print", F.octet_length("text").cast("long").alias("n_bytes")), "suffix-rows")
-    texts = named.where(F.octet_length("text") >= LENGTH).select("print", "text").mapInArrow(_once_a_task, "print binary, text binary")
-    anchors = materialise(texts.mapInArrow(_anchored, "gram long, print binary, at int"), "suffix-anchors")
+    long_enough = named.where(F.octet_length("text") >= LENGTH).select("print", "text")
+    texts = long_enough.mapInArrow(_once_a_task, "print binary, text binary")
+    anchors = materialise(long_enough.mapInArrow(_anchored, "gram long, print binary, at int"), "suffix-anchors")
     place = F.struct("print", "at")
     repeated = materialise(anchors.groupBy("gram").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo <> hi").select("gram"), "suffix-grams")
     flagged = materialise(anchors.join(repeated, "gram").groupBy("print").agg(F.collect_set(F.struct("gram", "at")).alias("anchors")), "suffix-flagged")

@@ -51,6 +51,20 @@ def corpus(seed):
     return texts
 
 
+def test_anchors_by_block_equal_anchors_of_whole_texts(monkeypatch):
+    rng = np.random.default_rng(7)
+    sizes = [0, 30, 399, 400, 5000, 0, 401, 1200, 9000, 0]
+    borders = np.r_[0, np.cumsum(sizes)].astype(np.int64)
+    raw = rng.integers(97, 101, borders[-1]).astype(np.uint8)
+    raw[8000:9000] = 97
+    want = set(zip(*(x.tolist() for x in suffixes.anchors_of(raw, borders))))
+    for block in (1 << 18, 997, 400, 50):
+        monkeypatch.setattr(suffixes, "BLOCK", block)
+        got = {x for part in suffixes.anchors_by_block(raw, borders) for x in zip(*(p.tolist() for p in part))}
+        assert got == want and want, block
+    assert not list(suffixes.anchors_by_block(raw[:399], np.array([0, 399])))
+
+
 def test_spans_equal_brute_force(spark):
     for seed in (1, 2):
         texts = corpus(seed)
