@@ -10,8 +10,8 @@ A document's set holds the hashes of its distinct word shingles; its sketch is t
    smaller than a sketch are listed by the same rule with their own size, which is exact.
 3. Pairs. A list gives no pairs of its members: each member meets the list's pivots (its most typical, least typical,
    first and last class). A class is first checked against the pivot it shares most lists with, then the pivots still in
-   other components. Classes of lists that still span several components then meet on their full sets: exact counts rule
-   out each class with too many values of its own, and the others meet in the rarest values, where their places and parity
+   other components, then neighbours in lists that still span several components, each list in a random order of its own.
+   Classes of lists that are open even then meet on their full sets: exact counts rule out each class with too many values of its own, and the others meet in the rarest values, where their places and parity
    words rule out most pairs that are not similar (``remaining_pairs``).
    So a group of n near copies costs in the order of n checks, and no link between components is lost.
 4. Check. The sketch of the union estimates the similarity and drops pairs more than six standard deviations below the
@@ -44,6 +44,8 @@ from formflow.llm.hashing import run_hashes, word_hashes
 from formflow.session import intermediates, materialise
 
 SKETCH, SHARED = 64, 30
+#: Pairs of one class that are checked because they are neighbours in lists; all others go the exact way.
+NEIGHBOURS = 8
 #: log2 of the number of counters in the frequency table.
 COUNTER_BITS = 20
 #: 64-bit words of parities of a full set.
@@ -285,6 +287,40 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return pairs.where(F.coalesce("__ra", "a") != F.coalesce("__rb", "b")).select("a", "b")
 
 
+def open_lists(lists: DataFrame, roots: DataFrame) -> DataFrame:
+    """(value, cls, n, root) of the lists that still span several components."""
+    placed = lists.join(roots, lists.cls == roots.node, "left").select("value", "cls", "n", F.coalesce("root", "cls").alias("root"))
+    several = placed.groupBy("value").agg((F.min("root") != F.max("root")).alias("open")).where("open").select(F.col("value").alias("__value"))
+    return materialise(placed.join(several, F.col("value") == F.col("__value")).drop("__value"), "minhash-open-lists")
+
+
+def _adjacent(threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = np.zeros((4, 0), dtype=np.int64)
+        for batch in batches:
+            rows = np.concatenate([last, np.stack([np.asarray(batch.column(c), dtype=np.int64) for c in ("value", "cls", "n", "root")])], axis=1)
+            last = rows[:, -1:]
+            x, y = rows[:, :-1], rows[:, 1:]
+            small, large = np.minimum(x[2], y[2]), np.maximum(x[2], y[2])
+            fits = (x[0] == y[0]) & (x[3] != y[3]) & (small >= threshold * large)
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x[1], y[1])[fits]), pa.array(np.maximum(x[1], y[1])[fits])], ["a", "b"])
+
+    return run
+
+
+def neighbour_pairs(opened: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): classes of different components that stand side by side in an open list, at most ``NEIGHBOURS`` for each a.
+
+    Each list has a random order of its own, so a class gets other neighbours in each. A group whose members are similar
+    to some share of each other only, which a few pivots leave in pieces, becomes one component by a number of checks that
+    follows its size; what stays apart is left to ``remaining_pairs``. Lists lie across range partitions, however long.
+    """
+    mixed = opened.withColumn("mix", F.xxhash64("value", "cls")).repartitionByRange("value", "mix").sortWithinPartitions("value", "mix")
+    pairs = mixed.select("value", "cls", "n", "root").mapInArrow(_adjacent(threshold), "a long, b long").distinct()
+    some = F.slice(F.sort_array(F.collect_list(F.struct(F.xxhash64("a", "b").alias("mix"), "b"))), 1, NEIGHBOURS)
+    return pairs.groupBy("a").agg(some.alias("near")).select("a", F.explode("near.b").alias("b"))
+
+
 def link_classes(classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """(node, root) for all classes that have a confirmed link."""
     threshold = percent / 100
@@ -296,12 +332,18 @@ def link_classes(classes: DataFrame, texts: DataFrame, size: int, percent: int)
     second = materialise(_apart(_ordered(pairs, "cls", "pivot").join(first, ["a", "b"], "left_anti"), roots), "minhash-second")
     links = links.unionByName(confirm(second, classes, texts, size, percent))
     roots = connected_components(links)
-    placed = long_lists.join(roots, long_lists.cls == roots.node, "left").select("value", "cls", "n", F.coalesce("root", "cls").alias("root"))
-    several = placed.groupBy("value").agg((F.min("root") != F.max("root")).alias("open")).where("open").select(F.col("value").alias("__value"))
-    open_lists = placed.join(several, F.col("value") == F.col("__value"))
-    open_classes = materialise(open_lists.select("cls", "root").distinct(), "minhash-open")
+    opened = open_lists(long_lists, roots)
+    if opened.isEmpty():
+        return roots
+    third = materialise(neighbour_pairs(opened, threshold).join(first, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti"), "minhash-third")
+    links = links.unionByName(confirm(third, classes, texts, size, percent))
+    roots = connected_components(links)
+    open_classes = materialise(open_lists(long_lists, roots).select("cls", "root").distinct(), "minhash-open")
+    if open_classes.isEmpty():
+        return roots
     rest = remaining_pairs(open_classes, classes, texts, size, percent)
-    rest = rest.join(first, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti")
+    for checked in (first, second, third):
+        rest = rest.join(checked, ["a", "b"], "left_anti")
     last = confirm(materialise(rest, "minhash-rest"), classes, texts, size, percent)
     return roots if last.isEmpty() else connected_components(links.unionByName(last))
 

@@ -103,6 +103,37 @@ def test_remaining_pairs_miss_none_around_the_threshold(spark):
         assert want <= got <= apart and (groups == 1 or len(got) < 1.5 * len(want))
 
 
+def test_neighbours_are_pairs_of_open_lists(spark):
+    rng = random.Random(3)
+    rows = [(v, c, 100 + c % 7, c % 5) for v in range(40) for c in rng.sample(range(60), 20)]
+    lists = spark.createDataFrame(rows, "value long, cls long, n long, root long").repartition(3)
+    got = {(r.a, r.b) for r in minhash.neighbour_pairs(lists, 0.8).collect()}
+    together = {(a, b) for v in range(40) for _, a, _, p in [x for x in rows if x[0] == v] for _, b, _, q in [x for x in rows if x[0] == v] if a < b and p != q}
+    per_class = [sum(a == c for a, _ in got) for c in range(60)]
+    assert got <= together and len(got) > 60 and max(per_class) == minhash.NEIGHBOURS
+    assert minhash.neighbour_pairs(lists.withColumn("root", F.lit(1).cast("long")), 0.8).isEmpty()
+    assert minhash.neighbour_pairs(lists.where("value < 0"), 0.8).isEmpty()
+
+
+def test_group_around_the_threshold_leaves_few_pairs_to_the_full_sets(spark, monkeypatch):
+    rng = random.Random(21)
+    base = [f"b{i}" for i in range(200)]
+    texts = [" ".join(edited(rng, base, 3)) for _ in range(120)]
+    left, exact = [], minhash.remaining_pairs
+
+    def counted(opened, *rest):
+        sizes = [r["count"] for r in opened.groupBy("root").count().collect()]
+        left.append((sum(sizes) ** 2 - sum(n * n for n in sizes)) // 2)
+        return exact(opened, *rest)
+
+    monkeypatch.setattr(minhash, "remaining_pairs", counted)
+    _, want = brute(texts, 4)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component for r in minhash.near_duplicates(docs, ["doc_id"], "doc_id", 4).collect()}
+    assert got == dict(enumerate(want)) and len(set(want)) < 60
+    assert sum(left) < 0.2 * len(texts) ** 2 / 2, left
+
+
 def test_contraction(spark):
     rng = random.Random(5)
     edges = [(i, i + 1) for i in range(300)] + [(rng.randrange(1000, 1200), rng.randrange(1000, 1200)) for _ in range(120)] + [(2000, i) for i in range(2001, 2100)] + [(5, 5)]
