@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from formflow.functions import IdRule, matches_pattern, reshuffled
+from formflow.functions import IdRule, bits, matches_pattern, reshuffled
 
 
 def record_keys(eav: DataFrame, case_field: str, catchment_prefix: str) -> DataFrame:
@@ -66,14 +66,21 @@ def packet_map(eav: DataFrame, field: str = "case_id", out: str = "case_id") ->
 
 def exclude_invalid_reports(
     rows: DataFrame, rule: IdRule = matches_pattern(), scope: Sequence[str] = ("report_id",), id_col: str = "case_id",
+    words: int | None = None,
 ) -> DataFrame:
     """Drop every row of a report that has any invalid id.
 
     By default a report id counts across sites; ``scope=("site_id", "report_id")``
-    keeps sites apart.
+    keeps sites apart. With ``words``, a bit table of that many words is asked
+    first: rows of reports that cannot be bad do not move, the others meet the
+    bad reports in the join. For tables in which bad reports are few.
     """
+    scope = list(scope)
     bad = rows.filter(~rule(F.col(id_col))).select(*scope).distinct()
-    return rows.join(reshuffled(bad, *scope), list(scope), "left_anti")
+    if words is None:
+        return rows.join(reshuffled(bad, *scope), scope, "left_anti")
+    suspect = bits.possible(rows, bad, scope, words).join(reshuffled(bad, *scope), scope, "left_anti")
+    return bits.impossible(rows, bad, scope, words).unionByName(suspect.select(*rows.columns))
 
 
 def invalid_digest(rows: DataFrame, rule: IdRule = matches_pattern(), id_col: str = "case_id") -> DataFrame:
@@ -101,19 +108,22 @@ class CaseLoad:
 
 def load_case_rows(
     eav: DataFrame, case_field: str = "case_id", catchment_prefix: str = "catchment_id",
-    rule: IdRule = matches_pattern(),
+    rule: IdRule = matches_pattern(), words: int | None = None,
 ) -> CaseLoad:
     """Enrich, validate and exclude with one pass over the wide side.
 
     The id belongs to the record, so validity and the digest are worked out on
-    the per-record keys; the EAV rows move once, to meet the accepted keys.
+    the per-record keys; the EAV rows move once, to meet the accepted keys. With
+    ``words``, a bit table of that many words keeps the rows of excluded records
+    in the scan stage; for exports of which much is excluded.
     """
     keys = record_keys(eav, case_field, catchment_prefix).fillna("", ["case_id", "catchment_id"])
     # The window holds one row per site of a record, never the record's EAV rows.
     checked = keys.withColumn("valid", F.bool_and(rule(F.col("case_id"))).over(W.partitionBy("record")))
     accepted = checked.filter("valid").drop("valid")
     bad = keys.filter(~rule(F.col("case_id")))
-    rows = eav.join(accepted, ["record", "site_id"]).select(
+    met = eav if words is None else bits.possible(eav, accepted, ["record", "site_id"], words)
+    rows = met.join(accepted, ["record", "site_id"]).select(
         "site_id", "catchment_id", F.col("record").alias("report_id"), "case_id", "field_name",
         F.col("value").alias("field_value"),
     )

@@ -107,6 +107,13 @@ def agg_ordered_listagg(spark, d):
     return quality.ordered_list(choices, "form_name", "field_value_label", "answers")
 
 
+@query("agg_ordered_list_ranges", oracle("""
+select form_name, string_agg(field_value_label, ', ' order by field_value_label) as answers
+from (select distinct form_name, field_value_label from ox_decoded) group by form_name"""))
+def agg_ordered_list_ranges(spark, d):
+    return quality.ordered_list_by_range(inputs.decoded(spark, d), "form_name", "field_value_label", "answers")
+
+
 @query("dedup_latest", oracle("""
 select id, case_id, kind, created_on from (
  select *, row_number() over (partition by case_id order by created_on desc, id desc) as rn from fx_visits where active = 1)

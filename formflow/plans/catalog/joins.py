@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from formflow.functions import LETTERS4_DIGITS5, matches_pattern
+from formflow.functions import LETTERS4_DIGITS5, bits, matches_pattern
 from formflow.operators import decode, enrich, rollup, upsert
 from formflow.plans import views
 from formflow.plans.catalog import inputs
@@ -42,6 +42,19 @@ def exclude_invalid_reports(spark, d):
     return enrich.exclude_invalid_reports(inputs.staging(spark, d), matches_pattern(LETTERS4_DIGITS5))
 
 
+@query("exclude_invalid_few", oracle("""
+select * from ox_staging where not exists (select 1 from ox_bad b where b.report_id = ox_staging.report_id)"""))
+def exclude_invalid_few(spark, d):
+    return enrich.exclude_invalid_reports(inputs.staging(spark, d), matches_pattern(LETTERS4_DIGITS5), words=bits.WORDS)
+
+
+@query("load_accepted_rows", oracle("""
+select site_id, catchment_id, report_id, case_id, field_name, field_value from ox_staging
+where not exists (select 1 from ox_bad b where b.report_id = ox_staging.report_id)"""))
+def load_accepted_rows(spark, d):
+    return enrich.load_case_rows(inputs.eav(spark, d), words=bits.WORDS).rows
+
+
 @query("join_site", oracle("""
 select m.*, s.id as site_guid, s.name as site_name from ox_mart m join fx_site s on s.site_id = m.site_id"""))
 def join_site(spark, d):
