@@ -6,7 +6,9 @@ successful tasks returned are in the list of archives, so a lost or repeated tas
 
 Reading. Archives are cut into byte ranges. A task scans its range for the gzip magic, takes a candidate for a record if
 the first bytes decode to a WARC header, and owns exactly the records that start inside its range, reading on beyond its
-end where the last one needs it. Checksums, lengths and payload digests are verified.
+end where the last one needs it. Checksums, lengths and payload digests are verified. Archives of other writers are read
+too (``parse_record`` states the rules); an archive that stands uncompressed inside a member's payload is taken for records
+of its own if a range starts inside that member.
 
 Edge cases: a null or empty payload is a record of 0 bytes; a null url has no target header; a null id has no id header;
 rows with the same id are separate records (if it is the largest id of equal payloads, each is a response); equal payloads
@@ -53,6 +55,8 @@ def record_bytes(page_id, url, payload: bytes, digest: str, refers_to=None, revi
     head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {named(page_id)}", f"WARC-Date: {date}"]
     if url is not None:
         head.append(f"WARC-Target-URI: {_line(url)}")
+        if _line(url) != url:
+            head.append("X-Target-Escaped: percent")
     if page_id is not None:
         head.append(f"X-Page-ID: {page_id}")
     if revisit:
@@ -62,24 +66,48 @@ def record_bytes(page_id, url, payload: bytes, digest: str, refers_to=None, revi
     return ("\r\n".join(head) + "\r\n\r\n").encode() + block + b"\r\n\r\n"
 
 
+def _headers(lines: list[bytes]) -> dict[str, str]:
+    pairs = (x.decode("utf-8", "replace").partition(":") for x in lines)
+    return {name.strip().lower(): value.strip() for name, colon, value in pairs if colon}
+
+
+def _sha1_of(stated: str | None) -> str | None:
+    """A stated SHA-1 as hex, from base 32 or hex; None for none or another algorithm."""
+    algorithm, _, value = (stated or "").partition(":")
+    if algorithm.lower() != "sha1":
+        return None
+    return value.lower() if len(value) == 40 else base64.b32decode(value.upper()).hex()
+
+
 def parse_record(record: bytes) -> dict:
-    """The fields of ``RECORDS`` of one record. Fails if a length or a digest does not hold."""
+    """The fields of ``RECORDS`` of one record. Fails if a length or a digest does not hold.
+
+    Records of other writers: ``record_type`` is the record's own (warcinfo, request, metadata, ...). The payload is what
+    follows the HTTP head where the block is an HTTP message, else the whole block. Without a SHA-1 payload digest in the
+    record it is worked out (a revisit has none then). A payload's length and digest are not judged where the record says
+    that it was cut off (WARC-Truncated) or sent in chunks (Transfer-Encoding); the block's length always is.
+    """
     head, _, rest = record.partition(b"\r\n\r\n")
-    lines = head.decode().split("\r\n")
-    fields = {k.lower(): v for k, _, v in (x.partition(": ") for x in lines[1:])}
+    fields = _headers(head.split(b"\r\n")[1:])
     block = rest[: int(fields["content-length"])]
     if len(block) != int(fields["content-length"]) or rest[len(block):] != b"\r\n\r\n":
         raise ValueError(f"record {fields.get('warc-record-id')}: wrong length")
-    http, _, payload = block.partition(b"\r\n\r\n")
-    size = next(int(x.partition(b":")[2]) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:"))
-    digest = base64.b32decode(fields["warc-payload-digest"].removeprefix("sha1:")).hex()
-    revisit = fields["warc-type"] == "revisit"
-    if not revisit and (len(payload) != size or hashlib.sha1(payload).hexdigest() != digest):
+    http, payload = {}, block
+    if fields.get("content-type", "").lower().startswith("application/http"):
+        lines, _, payload = block.partition(b"\r\n\r\n")
+        http = _headers(lines.split(b"\r\n")[1:])
+    kind, stated = fields["warc-type"], _sha1_of(fields.get("warc-payload-digest"))
+    revisit = kind == "revisit"
+    judged = not (revisit or "warc-truncated" in fields or "transfer-encoding" in http)
+    size = int(http["content-length"]) if http.get("content-length", "").isdigit() else None if revisit else len(payload)
+    digest = stated if revisit or stated else hashlib.sha1(payload).hexdigest()
+    if judged and (len(payload) != size or hashlib.sha1(payload).hexdigest() != digest):
         raise ValueError(f"record {fields.get('warc-record-id')}: payload does not match its digest")
     number = lambda k: int(fields[k]) if k in fields else None
     url = fields.get("warc-target-uri")
-    return {"page_id": number("x-page-id"), "url": None if url is None else _unline(url), "record_type": fields["warc-type"],
-            "refers_to": number("x-refers-to-page"), "payload_bytes": size, "payload_digest": digest, "payload": None if revisit else payload}
+    return {"page_id": number("x-page-id"), "url": _unline(url) if url and "x-target-escaped" in fields else url, "record_type": kind,
+            "refers_to": number("x-refers-to-page"), "payload_bytes": size if judged or revisit else len(payload), "payload_digest": digest,
+            "payload": None if revisit else payload}
 
 
 def with_responses(pages: DataFrame, least: int = 1000) -> DataFrame:
@@ -139,8 +167,6 @@ def records_in(store, path: str, size: int, start: int, end: int) -> Iterator[by
         buffer = f.read_at(min(size, end + _PROBE) - start, start)
         at = buffer.find(MAGIC)
         while 0 <= at < end - start:
-            if size - start - at > len(buffer) - at < _PROBE:
-                buffer += f.read_at(min(_STEP, size - start - len(buffer)), start + len(buffer))
             try:
                 valid = zlib.decompressobj(31).decompress(memoryview(buffer)[at : at + _PROBE], 7) == b"WARC/1."
             except zlib.error:
@@ -149,13 +175,10 @@ def records_in(store, path: str, size: int, start: int, end: int) -> Iterator[by
                 at = buffer.find(MAGIC, at + 1)
                 continue
             packed, parts, place = zlib.decompressobj(31), [], at
-            while not packed.eof:
-                if place == len(buffer):
-                    more = f.read_at(min(_STEP, size - start - place), start + place)
-                    if not more:
-                        raise ValueError(f"{path}: the record at {start + at} is cut off")
-                    buffer += more
-                block = memoryview(buffer)[place : place + _STEP]
+            while not packed.eof:  # beyond the range the member is read block by block, and no block is kept
+                block = buffer[place : place + _STEP] if place < len(buffer) else f.read_at(min(_STEP, size - start - place), start + place)
+                if not block:
+                    raise ValueError(f"{path}: the record at {start + at} is cut off")
                 parts.append(packed.decompress(block))
                 place += len(block) - len(packed.unused_data)
             yield b"".join(parts)

@@ -81,3 +81,42 @@ def test_edge_cases(spark):
     assert read(spark, spark.createDataFrame([], SCHEMA)) == []
     both_null = read(spark, [(None, "a", "n" * 1200), (None, "b", "n" * 1200)])
     assert [r.record_type for r in both_null] == ["response"] * 2
+
+
+def foreign(kind, block, *headers):
+    head = ["WARC/1.0", f"WARC-Type: {kind}", "WARC-Record-ID:<urn:uuid:1>", *headers, f"Content-Length: {len(block)}"]
+    return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def test_records_of_other_writers(spark, tmp_path):
+    http = "Content-Type: application/http; msgtype=response"
+    sha = lambda b: hashlib.sha1(b).hexdigest()
+    records = [
+        (foreign("warcinfo", b"software: x\r\n", "Content-Type: application/warc-fields"), ("warcinfo", None, 13, sha(b"software: x\r\n"))),
+        (foreign("request", b"GET / HTTP/1.1\r\nHost: h\r\n\r\n", "Content-Type: application/http; msgtype=request", "WARC-Target-URI: http://h/a%25b"), ("request", "http://h/a%25b", 0, sha(b""))),
+        (foreign("response", b"HTTP/1.1 200 OK\r\n\r\nbody", http, "warc-target-uri:http://h/"), ("response", "http://h/", 4, sha(b"body"))),
+        (foreign("response", b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n4\r\nbody\r\n0\r\n\r\n", http, f"WARC-Payload-Digest: sha1:{sha(b'body')}"), ("response", None, 14, sha(b"body"))),
+        (foreign("response", b"HTTP/1.1 200 OK\r\nContent-Length: 900\r\n\r\ncut", http, "WARC-Truncated: length"), ("response", None, 3, sha(b"cut"))),
+        (foreign("response", b"HTTP/1.1 200 OK\r\n\r\nbody", http, "WARC-Payload-Digest: md5:00"), ("response", None, 4, sha(b"body"))),
+        (foreign("revisit", b"", "WARC-Target-URI: http://h/"), ("revisit", "http://h/", None, None)),
+        (foreign("metadata", b"", "WARC-Target-URI: "), ("metadata", "", 0, sha(b""))),
+    ]
+    path = tmp_path / "other.warc.gz"
+    path.write_bytes(b"".join(gzip.compress(r) for r, _ in records))
+    listed = spark.createDataFrame([(f"file://{path}", path.stat().st_size, len(records))], warc.ARCHIVES)
+    for split in (50, 1 << 20):
+        rows = warc.read_archives(spark, listed, split).collect()
+        assert sorted(map(str, [(r.record_type, r.url, r.payload_bytes, r.payload_digest) for r in rows])) == sorted(str(w) for _, w in records)
+        assert all(r.page_id is None and (r.payload is None) == (r.record_type == "revisit") for r in rows)
+    with pytest.raises(ValueError, match="digest"):
+        warc.parse_record(foreign("response", b"HTTP/1.1 200 OK\r\n\r\nbody", http, f"WARC-Payload-Digest: sha1:{sha(b'other')}"))
+
+
+def test_a_large_member_beyond_its_range_is_read_once(tmp_path):
+    payload = random.Random(2).randbytes(3_000_000)
+    record = warc.record_bytes(1, "u", payload, hashlib.sha1(payload).hexdigest())
+    data = gzip.compress(record) + gzip.compress(warc.record_bytes(2, "u", b"x", hashlib.sha1(b"x").hexdigest()))
+    path = tmp_path / "a.warc.gz"
+    path.write_bytes(data)
+    found = [len(list(warc.records_in(fs.LocalFileSystem(), str(path), len(data), s, min(len(data), s + 1_000_000)))) for s in range(0, len(data), 1_000_000)]
+    assert found == [1, 0, 0, 1]
