@@ -9,7 +9,7 @@ from formflow.operators import quality, reshape
 from formflow.plans.catalog import inputs
 from formflow.plans.fixtures import fixture, oracle, table
 from formflow.plans.registry import query
-from formflow.schemas import EAV_COLUMNS
+from formflow.schemas import EAV_COLUMNS, ExportLayout
 from formflow.session import work_dir
 from formflow.sources import zones
 
@@ -50,10 +50,16 @@ def src_json_bad_lines(spark, d):
 _ODD_TEXT = """case when field_name = 'priority' then concat(value, ' } "', record, '" {\\') else value end as value"""
 
 
+def _by_array(spark, d):
+    """Flat records with the number of their array in ``chunk``; a task gets the arrays of about 50,000 records, however many there are."""
+    chunk = F.floor(F.col("record").cast("bigint") / 2000).cast("string")
+    tasks = 1 + table(spark, d, "orders").count() // 50_000
+    return fixture(spark, d, "fx_flat").withColumn("chunk", chunk).repartition(tasks, "chunk")
+
+
 def _land_arrays(rows, path):
-    """What a form server delivers: files of one JSON array each, here of 2,000 records."""
-    chunk = F.floor(F.col("record").cast("bigint") / 2000).alias("chunk")
-    objects = rows.select(chunk, F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("o"))
+    """What a form server delivers: files of one JSON array each, here of 2,000 records, numbered in ``chunk``."""
+    objects = rows.select("chunk", F.to_json(F.struct(*[c for c in rows.columns if c != "chunk"]), {"ignoreNullFields": "false"}).alias("o"))
     array = F.concat(F.lit("[\n "), F.array_join(F.collect_list("o"), ",\n "), F.lit("\n]\n"))
     objects.groupBy("chunk").agg(array.alias("value")).write.partitionBy("chunk").text(path)
 
@@ -62,7 +68,9 @@ def _land_arrays(rows, path):
 def src_json_array(spark, d):
     """EAV export as JSON arrays whose texts hold braces, quotes and backslashes."""
     path = work_dir(spark, "eav-arrays")
-    _land_arrays(inputs.eav(spark, d).select("record", "site_id", "field_name", F.expr(_ODD_TEXT.replace("\\", "\\\\"))), path)
+    # Records move to their array before they become nine rows each.
+    rows = reshape.wide_to_eav(_by_array(spark, d), ExportLayout(repeat_instance="chunk")).withColumnRenamed("repeat_instance", "chunk")
+    _land_arrays(rows.select("record", "site_id", "field_name", F.expr(_ODD_TEXT.replace("\\", "\\\\")), "chunk"), path)
     return sources.read_eav_json(spark, path, array_files=True).select(*EAV4)
 
 
@@ -70,7 +78,7 @@ def src_json_array(spark, d):
 def src_json_array_flat(spark, d):
     """Flat export as JSON arrays: same rows as from lines."""
     path = work_dir(spark, "flat-arrays")
-    _land_arrays(fixture(spark, d, "fx_flat"), path)
+    _land_arrays(_by_array(spark, d), path)
     return reshape.decode_multiselect(sources.read_flat_json(spark, path, array_files=True)).select(*EAV4)
 
 

@@ -69,13 +69,14 @@ def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
     goes through the windows that number the records.
     """
     header = spark.read.options(**_CSV, multiLine=True).csv(path).columns
-    records = splits.csv_records(spark, path)
-    per_file = records.groupBy("file").agg((F.max("row") - 1).alias("n"))
+    blocks = splits.csv_blocks(spark, path)
+    records = splits.csv_records(spark, path, blocks)
+    per_file = blocks.groupBy("file").agg(F.greatest(F.sum("records") - 1, F.lit(0)).alias("n"))
     before = F.sum("n").over(W.orderBy("file").rowsBetween(W.unboundedPreceding, -1))
     offsets = per_file.select("file", F.coalesce(before, F.lit(0)).alias("offset"))
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
     cells = F.from_csv("value", F.lit(schema.toDDL()), {"quote": '"', "escape": '"', "multiLine": "true", "mode": "FAILFAST"})
-    numbered = records.where("row > 1").join(offsets, "file")
+    numbered = records.where("row > 1").join(F.broadcast(offsets), "file")  # one row per file
     rows = numbered.select(cells.alias("c"), (F.col("row") - 1 + F.col("offset")).cast("bigint").alias("row_seq")).select("c.*", "row_seq")
     for field in DICTIONARY_CSV.fields:
         if field.name not in header:

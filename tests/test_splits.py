@@ -83,3 +83,39 @@ def test_an_open_quote_fails(spark, tmp_path):
     (tmp_path / "x.csv").write_text('field_name,field_label\na,"b\nc,d\n')
     with pytest.raises(Exception, match="never closed"):
         sources.read_dictionary(spark, str(tmp_path)).collect()
+
+
+@pytest.mark.parametrize("size", [1000, 1 << 20])
+def test_a_byte_range_is_sorted_in_stretches(spark, tmp_path, split_size, monkeypatch, size):
+    """What one task sorts followed the byte range: no block has more than 2 ** STRETCH pieces, and the rows stay the same."""
+    monkeypatch.setattr(splits, "STRETCH", 3)
+    rows = list(objects(4, 200, True))
+    (tmp_path / "json").mkdir()
+    (tmp_path / "json" / "x.json").write_text(json.dumps(rows))
+    split_size(size)
+    text = lambda o: json.dumps(o, sort_keys=True)
+    got = splits.json_array_objects(spark, str(tmp_path / "json")).collect()
+    assert sorted(text(json.loads(r.value)) for r in got) == sorted(map(text, rows))
+    (tmp_path / "x.csv").write_text("field_name,field_label\n" + "".join(f'n{i},"a\nb ""{i}""\n"\n' for i in range(300)))
+    blocks = splits.csv_blocks(spark, str(tmp_path / "x.csv"))
+    assert blocks.where("high - low >= 8").count() == 0 and blocks.count() > 100
+    got = sources.read_dictionary(spark, str(tmp_path / "x.csv")).orderBy("row_seq").collect()
+    assert [(r.row_seq, r.field_name, r.field_label) for r in got] == [(i + 1, f"n{i}", f'a\nb "{i}"\n') for i in range(300)]
+
+
+def test_rows_of_an_array_move_once(spark, tmp_path):
+    """Braces inside texts: the pieces were shuffled for every join with the table of blocks."""
+    (tmp_path / "x.json").write_text(json.dumps([{"record": str(i), "value": f"{i} }}"} for i in range(2000)]))
+    df = splits.json_array_objects(spark, str(tmp_path)).select("value")
+    assert df.count() == 2000
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan
+
+
+def test_another_split_of_the_files_fails(spark, tmp_path, split_size):
+    (tmp_path / "x.csv").write_text("field_name,field_label\n" + "".join(f'n{i},"a\nb"\n' for i in range(300)))
+    split_size(1000)
+    blocks = splits.csv_blocks(spark, str(tmp_path))
+    split_size(300)
+    with pytest.raises(Exception, match="split otherwise"):
+        splits.csv_records(spark, str(tmp_path), blocks).collect()
