@@ -91,7 +91,8 @@ def src_csv_multiline(spark, d):
     path = work_dir(spark, "multiline-csv")
     label = F.concat("o_orderstatus", F.lit('\nsaid "'), "o_orderpriority", F.lit('", twice\n'))
     rows = table(spark, d, "orders").select("o_orderkey", F.col("o_orderkey").cast("string").alias("field_name"), label.alias("field_label"))
-    ordered = rows.repartitionByRange(4, "o_orderkey").sortWithinPartitions("o_orderkey").drop("o_orderkey")
+    files = max(4, 1 + rows.count() // 500_000)  # what one task sorts
+    ordered = rows.repartitionByRange(files, "o_orderkey").sortWithinPartitions("o_orderkey").drop("o_orderkey")
     ordered.write.options(header=True, escape='"', quoteAll=True, ignoreTrailingWhiteSpace=False).csv(path)
     return sources.read_dictionary(spark, path).select("row_seq", "field_name", "field_label")
 
