@@ -9,21 +9,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+ROWS_PER_FILE = 1_000_000  # about what one task sorts and writes
 
-def write_zoned_parts(df: DataFrame, path: str, record_col: str = "record", files: int | None = None) -> DataFrame:
+
+def write_zoned_parts(df: DataFrame, path: str, record_col: str = "record", files: int | None = None, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
     """Write ``df`` in record order below ``path`` and return its zone map (file, low, high, rows).
 
-    Rows without a record id go to the first files; their zone has NULL bounds only if a file holds nothing else.
-    A record with very many rows may fill several files.
+    ``files`` is the least number of ranges; there are more where one would hold over ``rows_per_file`` rows, because a
+    range is sorted by one task. Rows without a record id go to the first files; their zone has NULL bounds only if a file
+    holds nothing else. A record with very many rows may fill several files.
     """
-    number = [] if files is None else [files]
+    number = max(files or 1, -(-df.count() // rows_per_file))
     # The hash spreads the rows of one record over neighbouring ranges.
     spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    ordered = df.withColumn("_spread", spread).repartitionByRange(*number, record_col, "_spread").sortWithinPartitions(record_col).drop("_spread")
+    ordered = df.withColumn("_spread", spread).repartitionByRange(number, record_col, "_spread").sortWithinPartitions(record_col).drop("_spread")
     ordered.write.mode("overwrite").parquet(f"{path}/parts")
     record = F.col(record_col)
-    zones = df.sparkSession.read.schema(df.select(record_col).schema).parquet(f"{path}/parts").groupBy(F.col("_metadata.file_path").alias("file")).agg(
-        F.min(record).alias("low"), F.max(record).alias("high"), F.count(F.lit(1)).alias("rows"))
+    rows = df.sparkSession.read.schema(df.select(record_col).schema).parquet(f"{path}/parts").select(
+        record, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    # A file is in record order, so its bounds are its first row with an id and its last row: counting needs no sort.
+    sizes = rows.groupBy("file").agg(
+        F.count(F.lit(1)).alias("rows"), F.min(F.when(record.isNotNull(), F.col("at"))).alias("first"), F.max("at").alias("last"))
+    ends = rows.join(F.broadcast(sizes), "file").where((F.col("at") == F.col("first")) | (F.col("at") == F.col("last")))  # one row per file
+    zones = ends.groupBy("file").agg(F.min(record).alias("low"), F.max(record).alias("high"), F.first("rows").alias("rows"))
     zones.coalesce(1).write.mode("overwrite").parquet(f"{path}/zones")
     return read_zones(df.sparkSession, path)
 
