@@ -8,9 +8,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from formflow.functions import CASE_ID_LENGTH, UPPER4_DIGITS5, has_length, matches_pattern
+from formflow.session import materialise
 
 SAMPLE_ROWS = 100  # fixed value: size of a failure sample
 MAX_DELETED_PCT = 25  # fixed value: default soft-delete threshold
+KEYS_PER_TASK = 1_000_000  # rows whose keys one task of a uniqueness test counts
 
 
 def min_rows(df: DataFrame, minimum: int = 1) -> DataFrame:
@@ -197,14 +199,20 @@ def declared_tests(df: DataFrame, tests: Sequence[Declared], unique: Mapping[str
     """All declared tests of a table: (test, failures, status), status being pass, warn or error.
 
     The row tests are counted in one scan; each ``unique`` key list costs one
-    aggregate, whose failures are the keys that occur more than once.
+    aggregate, whose failures are the keys that occur more than once. The scan is
+    written first: its row count says over how many tasks the keys are dealt, so
+    that what one task holds does not follow the table.
     """
     status = lambda n, t: F.when(n > t.error_after, "error").when(n > t.warn_after, "warn").otherwise("pass") if t.error_after is not None else (
         F.when(n > t.warn_after, "warn").otherwise("pass"))
-    counts = df.agg(*[F.count_if(F.expr(t.failing)).alias(f"n{i}") for i, t in enumerate(tests)])
+    counts = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(F.expr(t.failing)).alias(f"n{i}") for i, t in enumerate(tests)])
+    if unique:
+        counts = materialise(counts, "declared-tests")
+        tasks = 1 + counts.first()["rows"] // KEYS_PER_TASK
     cells = [F.struct(F.lit(t.name).alias("test"), F.col(f"n{i}").alias("failures"), status(F.col(f"n{i}"), t).alias("status")) for i, t in enumerate(tests)]
     out = counts.select(F.inline(F.array(*cells)))
     for name, keys in (unique or {}).items():
         n = F.count(F.lit(1))
-        out = out.unionByName(duplicate_keys(df, keys).agg(n.alias("failures"), F.when(n > 0, "error").otherwise("pass").alias("status")).withColumn("test", F.lit(name)))
+        dealt = df.select(*keys).repartition(tasks, *keys)
+        out = out.unionByName(duplicate_keys(dealt, keys).agg(n.alias("failures"), F.when(n > 0, "error").otherwise("pass").alias("status")).withColumn("test", F.lit(name)))
     return out

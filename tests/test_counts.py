@@ -6,7 +6,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from formflow import session
+from formflow import session, sinks
 from formflow.operators import quality, reshape, upsert
 from formflow.plans import jobs, views
 from formflow.session import intermediates, materialise
@@ -111,3 +111,28 @@ def test_an_upsert_leaves_its_version_only(spark, tmp_path, work):
     for _ in range(2):
         counts = jobs.run_upsert(snapshot, source, schema, spec, AT, missing_keys=["k"], scope="active = 1")
     assert (counts.inserted, counts.updated) == (0, 2) and work() == [] and snapshot.current(spark).count() == 2
+
+
+def test_a_range_of_parts_is_bounded_by_rows(spark, tmp_path):
+    """The number of files was fixed: what one task sorts grew with the table."""
+    rows = spark.range(1000).select(F.when(F.col("id") >= 5, F.lpad(F.col("id").cast("string"), 4, "0")).alias("record"), F.col("id").alias("value"))
+    map_ = zones.write_zoned_parts(rows, str(tmp_path), files=2, rows_per_file=100)
+    found = sorted(map_.collect(), key=lambda r: r.low or "")
+    assert len(found) >= 9 and sum(r.rows for r in found) == 1000
+    assert all(a.high <= b.low for a, b in zip(found, found[1:]) if a.high)
+    assert min(r.low for r in found if r.low) == "0005" and max(r.high for r in found if r.high) == "0999"
+
+
+def test_keys_of_a_uniqueness_test_are_dealt_by_rows(spark, monkeypatch):
+    """One task's share of the keys followed the table, as the join before it had dealt the rows."""
+    monkeypatch.setattr(quality, "KEYS_PER_TASK", 100)
+    rows = spark.range(1000).select((F.col("id") % 999).alias("k"), F.lit(None).cast("string").alias("n"))
+    df = quality.declared_tests(rows, [quality.Declared("n is set", "n is null")], {"k": ["k"], "n": ["k", "n"]})
+    assert "hashpartitioning(k" in (plan := df._jdf.queryExecution().executedPlan().toString()) and ", 11), REPARTITION_BY_NUM" in plan
+    assert [tuple(r) for r in df.collect()] == [("n is set", 1000, "error"), ("k", 1, "error"), ("n", 1, "error")]
+
+
+def test_staging_tables_are_written_by_zstd(spark, tmp_path):
+    """Hash ids are half of a mart's bytes under the default codec."""
+    staged = sinks.overwrite_staging(spark.range(10), str(tmp_path / "t"))
+    assert staged.count() == 10 and list((tmp_path / "t").glob("*.zstd.parquet"))
