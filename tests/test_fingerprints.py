@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from formflow.operators import fingerprints, ordered, quality, upsert
+from formflow.session import materialise
 from formflow.sinks.buckets import BucketedMart
 
 SCHEMA = "k long, a string, b string, x double"
@@ -131,3 +132,17 @@ def test_clumped_sequences_give_blocks_of_equal_size(spark):
     assert len(sizes) == 16 and max(sizes) <= 2 * statistics.median(sizes)
     numbered = ordered.row_number(df, "at", "n", blocks=16)
     assert numbered.where("n <> case when at < 18000 then at + 1 else (at + 1600000) / 100 + 1 end").isEmpty()
+
+
+@pytest.mark.parametrize("changed, levels", [(500, 1), (3, 2), (0, 2)])
+def test_a_second_level_is_left_out_where_most_rows_differ(spark, monkeypatch, changed, levels):
+    """It was made in any case, and kept no row in place where the differences lie in all parts."""
+    written = []
+    monkeypatch.setattr(fingerprints, "materialise", lambda df, purpose: written.append(purpose) or materialise(df, purpose))
+    left = spark.range(500).select(F.col("id").alias("k"), F.col("id").cast("string").alias("v"))
+    right = left.withColumn("v", F.when(F.col("k") < changed, F.lit(None)).otherwise(F.col("v")))
+    got = fingerprints.compare_tree(left, right, ["k"], fanout=64)
+    assert tuple(got.figures.first()) == (500, 500, changed, changed, int(not changed))
+    assert written.count("hash-tree") == levels
+    assert got.differing.where("left_surplus = 1 and v is not null").count() == changed
+    assert got.differing.where("left_surplus = -1 and v is null").count() == changed
