@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from formflow.functions import completion_field, is_blank, reshuffled, row_id
 from formflow.schemas import EAV_COLUMNS, ExportLayout
+from formflow.session import materialise
 
 MULTI = "___"
 
@@ -127,7 +128,8 @@ def field_names(eav: DataFrame, name_col: str = "field_name") -> list[str]:
 def pivot_dynamic(
     eav: DataFrame, keys: Sequence[str], *, name_col: str = "field_name", value_col: str = "field_value",
 ) -> DataFrame:
-    """Pivot over every field name in the data, columns in name order."""
+    """Pivot over every field name in the data, columns in name order; the rows are written first, because the names are read from them too."""
+    eav = materialise(eav.select(*keys, name_col, value_col), "pivot-rows")
     names = field_names(eav, name_col)
     return pivot_fields(eav, keys, names, name_col=name_col, value_col=value_col, keep_empty=True)
 

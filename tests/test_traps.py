@@ -353,3 +353,18 @@ def test_soft_delete_threshold_and_empty_table(spark):
     assert rows(quality.soft_delete_percentage(df)) == [(1, 4, 25.0, 0)]
     assert rows(quality.soft_delete_percentage(df, 24))[0][-1] == 1
     assert quality.soft_delete_percentage(df.limit(0)).count() == 0
+
+
+def test_a_dynamic_pivot_works_its_rows_out_once(spark):
+    """The names and the cells were each read from the whole plan."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    eav = spark.createDataFrame([("1", "a", "x"), ("1", "b", None), ("2", None, "y")], "k string, field_name string, field_value string")
+    df = reshape.pivot_dynamic(eav.mapInArrow(count, eav.schema), ["k"])
+    assert df.columns == ["k", "a", "b"] and rows(df, "k") == [("1", "x", None), ("2", None, None)]
+    assert seen.value == 3
