@@ -10,9 +10,11 @@ A document's set holds the hashes of its distinct word shingles; its sketch is t
    smaller than a sketch are listed by the same rule with their own size, which is exact.
 3. Pairs. A list gives no pairs of its members: each member meets the list's pivots (its most typical, least typical,
    first and last class). A class is first checked against the pivot it shares most lists with, then the pivots still in
-   other components, then neighbours in lists that still span several components, each list in a random order of its own.
-   Classes of lists that are open even then meet on their full sets: exact counts rule out each class with too many values of its own, and the others meet in the rarest values, where their places and parity
-   words rule out most pairs that are not similar (``remaining_pairs``).
+   other components. Of lists that still span several components, short ones give all their pairs, and long ones
+   neighbours, each list in a random order of its own. Classes of long lists that are open even then and have ``SHARED``
+   sketch values in common with other components (``enough_in_common``) meet on their full sets: exact counts rule out each
+   class with too many values of its own, and the others meet in the rarest values, where their places and parity words
+   rule out most pairs that are not similar (``remaining_pairs``).
    So a group of n near copies costs in the order of n checks, and no link between components is lost.
 4. Check. The sketch of the union estimates the similarity and drops pairs more than six standard deviations below the
    threshold; the others are confirmed on their full sets.
@@ -46,6 +48,8 @@ from formflow.session import intermediates, materialise
 SKETCH, SHARED = 64, 30
 #: Pairs of one class that are checked because they are neighbours in lists; all others go the exact way.
 NEIGHBOURS = 8
+#: Members of a list whose pairs are all checked if it is open after the pivots: at most ``SHORT - 1`` for each member.
+SHORT = 8
 #: log2 of the number of counters in the frequency table.
 COUNTER_BITS = 20
 #: 64-bit words of parities of a full set.
@@ -143,7 +147,7 @@ def pivot_pairs(lists: DataFrame, threshold: float) -> tuple[DataFrame, DataFram
     shared = materialise(lists.join(pivots, F.col("value") == F.col("__value")).select("value", "cls", "n", "size", "pivots"), "minhash-lists")
     pairs = shared.select("cls", "n", F.explode("pivots").alias("p")).select("cls", "n", F.col("p.cls").alias("pivot"), F.col("p.n").alias("m"))
     pairs = pairs.where((F.col("cls") != F.col("pivot")) & _similar_sizes("n", "m", threshold)).groupBy("cls", "pivot").agg(F.count("*").alias("votes"))
-    return materialise(pairs, "minhash-pairs"), shared.where("size > 3").select("value", "cls", "n")
+    return materialise(pairs, "minhash-pairs"), shared.where("size > 3").select("value", "cls", "n", "size")
 
 
 def _estimated(threshold: float):
@@ -212,7 +216,8 @@ def full_sets(wanted: DataFrame, texts: DataFrame, size: int) -> DataFrame:
 
 def confirm(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose sets are similar enough: estimated on sketches, then confirmed on full sets."""
-    known = pairs.join(_side(classes, "a", {"sketch": "sa", "n": "na"}), "a").join(_side(classes, "b", {"sketch": "sb", "n": "nb"}), "b")
+    # Each side meets the pairs, which are small, so only sketches that are in a pair move.
+    known = pairs.join(_side(classes, "a", {"sketch": "sa", "n": "na"}), "a").join(pairs.join(_side(classes, "b", {"sketch": "sb", "n": "nb"}), "b"), ["a", "b"])
     likely = materialise(known.mapInArrow(_estimated(percent / 100), "a long, b long"), "minhash-likely")
     if likely.isEmpty():
         return likely
@@ -288,8 +293,8 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def open_lists(lists: DataFrame, roots: DataFrame) -> DataFrame:
-    """(value, cls, n, root) of the lists that still span several components."""
-    placed = lists.join(roots, lists.cls == roots.node, "left").select("value", "cls", "n", F.coalesce("root", "cls").alias("root"))
+    """(value, cls, n, size, root) of the lists that still span several components."""
+    placed = lists.join(roots, lists.cls == roots.node, "left").select("value", "cls", "n", "size", F.coalesce("root", "cls").alias("root"))
     several = placed.groupBy("value").agg((F.min("root") != F.max("root")).alias("open")).where("open").select(F.col("value").alias("__value"))
     return materialise(placed.join(several, F.col("value") == F.col("__value")).drop("__value"), "minhash-open-lists")
 
@@ -321,6 +326,27 @@ def neighbour_pairs(opened: DataFrame, threshold: float) -> DataFrame:
     return pairs.groupBy("a").agg(some.alias("near")).select("a", F.explode("near.b").alias("b"))
 
 
+def short_list_pairs(opened: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): all pairs of classes of different components in the lists of at most ``SHORT`` members."""
+    short = opened.where(F.col("size") <= SHORT)
+    other = short.select("value", *[F.col(c).alias(f"o_{c}") for c in ("cls", "n", "root")])
+    met = short.join(other, "value").where((F.col("cls") < F.col("o_cls")) & (F.col("root") != F.col("o_root")) & _similar_sizes("n", "o_n", threshold))
+    return _ordered(met, "cls", "o_cls")
+
+
+def enough_in_common(open_classes: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """The open classes (cls, root) of which as many sketch values are in open classes of other roots as a similar pair shares.
+
+    That number is the one that the inverted lists go by. Values that one root alone holds are in no pair's intersection.
+    """
+    sketches = open_classes.join(classes.select("cls", "sketch"), "cls")
+    needed = F.least(F.lit(SHARED), F.ceil(threshold * F.size("sketch") - 1e-9))
+    values = materialise(sketches.select("cls", "root", needed.alias("needed"), F.explode("sketch").alias("value")), "minhash-sketch-values")
+    several = values.groupBy("value").agg((F.min("root") != F.max("root")).alias("several")).where("several").select("value")
+    counts = values.join(several, "value").groupBy("cls", "root").agg(F.count("*").alias("common"), F.first("needed").alias("needed"))
+    return counts.where("common >= needed").select("cls", "root")
+
+
 def link_classes(classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """(node, root) for all classes that have a confirmed link."""
     threshold = percent / 100
@@ -335,10 +361,13 @@ def link_classes(classes: DataFrame, texts: DataFrame, size: int, percent: int)
     opened = open_lists(long_lists, roots)
     if opened.isEmpty():
         return roots
-    third = materialise(neighbour_pairs(opened, threshold).join(first, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti"), "minhash-third")
+    is_long = F.col("size") > SHORT
+    third = neighbour_pairs(opened.where(is_long), threshold).unionByName(short_list_pairs(opened, threshold)).distinct()
+    third = materialise(third.join(first, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti"), "minhash-third")
     links = links.unionByName(confirm(third, classes, texts, size, percent))
     roots = connected_components(links)
-    open_classes = materialise(open_lists(long_lists, roots).select("cls", "root").distinct(), "minhash-open")
+    open_classes = open_lists(opened.where(is_long).drop("root"), roots).select("cls", "root").distinct()
+    open_classes = materialise(enough_in_common(open_classes, classes, threshold), "minhash-open")
     if open_classes.isEmpty():
         return roots
     rest = remaining_pairs(open_classes, classes, texts, size, percent)

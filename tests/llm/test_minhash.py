@@ -134,6 +134,44 @@ def test_group_around_the_threshold_leaves_few_pairs_to_the_full_sets(spark, mon
     assert sum(left) < 0.2 * len(texts) ** 2 / 2, left
 
 
+def test_texts_that_share_a_few_shingles_do_not_meet_on_full_sets(spark, monkeypatch):
+    rng = random.Random(31)
+    phrases = [[f"p{i}_{j}" for j in range(6)] for i in range(60)]
+    texts = []
+    for _ in range(300):  # chance phrases of many texts, and words of its own
+        some = [w for p in rng.sample(phrases, 4) for w in [*p, *(f"u{rng.randrange(10**9)}" for _ in range(30))]]
+        texts.append(" ".join(some))
+    left, exact = [], minhash.remaining_pairs
+    monkeypatch.setattr(minhash, "remaining_pairs", lambda opened, *rest: left.append(opened.count()) or exact(opened, *rest))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component for r in minhash.near_duplicates(docs, ["doc_id"], "doc_id", 4).collect()}
+    assert got == {i: i for i in range(300)} and sum(left) < 30, left
+
+
+def test_short_lists_give_all_their_pairs(spark):
+    rows = [(v, 10 * v + c, 100, n, c % 2) for v, n in ((1, 8), (2, 5), (3, 9)) for c in range(n)]
+    opened = spark.createDataFrame(rows, "value long, cls long, n long, size long, root long")
+    got = {(r.a, r.b) for r in minhash.short_list_pairs(opened, 0.8).collect()}
+    assert got == {(10 * v + i, 10 * v + j) for v, n in ((1, 8), (2, 5)) for j in range(n) for i in range(j) if i % 2 != j % 2}
+
+
+def test_similar_classes_have_enough_in_common(spark):
+    rng = random.Random(17)
+    texts = []
+    for g in range(6):
+        base = [f"g{g}_{i}" for i in range(rng.choice((5, 20, 45, 120, 260)))]
+        texts += [" ".join(edited(rng, base, rng.randrange(1, 2 + len(base) // 20))) for _ in range(20)]
+    texts += [" ".join([f"c{i}" for i in range(12)] + [f"u{rng.randrange(10**9)}" for _ in range(80)]) for _ in range(20)]
+    sets = [shingles(t, 4) for t in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = docs.mapInArrow(minhash._sketches(4), "doc_id long, n long, print binary, sketch array<long>")
+    classes = rows.select(F.col("doc_id").alias("cls"), "n", "print", "sketch")
+    opened = classes.select("cls", (F.col("cls") % 3).alias("root"))
+    got = {(r.cls, r.root) for r in minhash.enough_in_common(opened, classes, 0.8).collect()}
+    similar = {i for j in range(len(texts)) for i in range(len(texts)) if i % 3 != j % 3 and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+    assert {(i, i % 3) for i in similar} <= got and not {c for c, _ in got} & set(range(120, 140))
+
+
 def test_contraction(spark):
     rng = random.Random(5)
     edges = [(i, i + 1) for i in range(300)] + [(rng.randrange(1000, 1200), rng.randrange(1000, 1200)) for _ in range(120)] + [(2000, i) for i in range(2001, 2100)] + [(5, 5)]
