@@ -34,6 +34,7 @@ import hashlib
 import json
 import os
 import re
+import zlib
 from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -51,6 +52,8 @@ from formflow.session import materialise
 RANGE, FAN_IN, LONG_SEGMENT = 1 << 16, 8, 1 << 12
 #: Bytes of text of a block, and of one step within it; segments that a worker keeps.
 BLOCK, STEP, KEPT_SEGMENTS = 4 << 20, 1 << 20, 250_000
+#: Segments encoded at a time; an encoded one takes kilobytes until its numbers are taken.
+LEARNT = 4_000
 SEGMENT = re.compile(r"[ \n]\s*\S*(?:[^\S \n]\s*\S*)*")
 
 Ids = tuple[int, ...]
@@ -217,8 +220,8 @@ class Pair:
 
     def lookup(self, segments: list[str]) -> np.ndarray:
         new = list(dict.fromkeys(s for s in segments if s not in self.known))
-        for at in range(0, len(new), 20_000):
-            self.learn(new[at : at + 20_000])
+        for at in range(0, len(new), LEARNT):
+            self.learn(new[at : at + LEARNT])
         return np.fromiter(map(self.known.__getitem__, segments), np.int64, len(segments))
 
 
@@ -239,12 +242,15 @@ def _block_schema(key_type: str) -> str:
 
 
 def _block(number: int, doc_id: pa.Array, keys, counts: dict, digests: list[str | None], unit_at, units, pair_at, pairs) -> pa.RecordBatch:
-    """One row: documents, their units (positions in the block's unit list), and the units' id pairs (positions in the dictionary)."""
+    """One row: documents, their units (positions in the block's unit list), and the units' id pairs (positions in the dictionary).
+
+    The positions are compressed: a row is several MB, and Spark holds it in several copies while it is moved.
+    """
     distinct, code = np.unique(pairs, return_inverse=True)
     used = np.bincount(units, minlength=len(pair_at) - 1)
     times = np.bincount(code, weights=np.repeat(used, np.diff(pair_at)), minlength=len(distinct)).astype(np.int64)
     one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
-    raw = lambda x, kind: pa.array([np.ascontiguousarray(x, dtype=kind).tobytes()], pa.binary())
+    raw = lambda x, kind: pa.array([zlib.compress(np.ascontiguousarray(x, dtype=kind).tobytes(), 1)], pa.binary())
     columns = {"block": pa.array([number], pa.int64()), "doc_id": one(doc_id), "doc_key": one(pa.array(keys, pa.int64())),
                **{c: one(pa.array(np.asarray(counts[c], dtype=np.int64))) for c in _COUNTS}, "groups_sha256": one(pa.array(digests, pa.string())),
                "unit_at": raw(unit_at, "<i8"), "units": raw(units, "<i4"), "pair_at": raw(pair_at, "<i8"), "unit_pairs": raw(code, "<i4"),
@@ -322,6 +328,7 @@ def _short_blocks(a_path: str, b_path: str):
                     yield done()
         if parts:
             yield done()
+        pair.forget()  # the worker stays, idle, while later stages move the blocks
 
     return run
 
@@ -493,7 +500,7 @@ def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
             cell = lambda c: batch.column(c)[i].values if batch.column(c)[i].values is not None else []
-            raw = lambda c, kind: np.frombuffer(batch.column(c)[i].as_py(), dtype=kind)
+            raw = lambda c, kind: np.frombuffer(zlib.decompress(batch.column(c)[i].as_py()), dtype=kind)
             unit_at, units, pair_at, codes = raw("unit_at", "<i8"), raw("units", "<i4"), raw("pair_at", "<i8"), raw("unit_pairs", "<i4")
             out = {c: cell(c) for c in ("doc_id", "doc_key", *_COUNTS, "groups_sha256")}
             for name, column in (("n_best", "best"), ("count_sum", "n")):

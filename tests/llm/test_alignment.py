@@ -149,3 +149,20 @@ def test_forgetting_segments_changes_nothing():
             ids = small.lookup(alignment.SEGMENT.findall(" " + docs[one][1]))
             keep.append(b";".join([small.text[i] for i in ids]))
     assert keep[: len(docs)] == keep[len(docs) :]
+
+
+def test_blocks_are_small_and_the_worker_keeps_no_segments_after_its_task(spark):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(300)]
+    texts = [" ".join(rng.choices(words, k=2000)) for _ in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    blocks = alignment._short_blocks(A, B)
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        moved = sum(len(b.column(c)[0].as_py()) for b in blocks(batches) for c in ("unit_at", "units", "pair_at", "unit_pairs"))
+        yield pa.RecordBatch.from_arrays([pa.array([moved]), pa.array([len(alignment.pair_of(A, B).known)])], ["moved", "known"])
+
+    row = docs.mapInArrow(sizes, "moved long, known long").first()
+    assert 0 < row.moved < 2.5 * 40 * 2000 and row.known == 0  # four bytes for each segment uncompressed
