@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -11,6 +12,8 @@ from formflow.schemas import EAV_COLUMNS, ExportLayout
 from formflow.session import materialise
 
 MULTI = "___"
+#: Up to so many fields a pivot holds each row against every field.
+FEW_FIELDS = 16
 
 
 def _keys(wide: DataFrame, layout: ExportLayout) -> tuple[list[Column], list[str]]:
@@ -105,15 +108,25 @@ def pivot_fields(
 ) -> DataFrame:
     """One row per key, one column per field holding its largest value (NULL when absent).
 
-    ``keep_empty`` keeps keys that have none of the fields. The pivot first takes
-    the largest value per key and field, on the map side too, then places each by
-    its name: work grows with the rows, not with rows times columns.
+    ``keep_empty`` keeps keys that have none of the fields. Beyond ``FEW_FIELDS``
+    the fields are dealt to blocks: values are placed within the block of a key,
+    then the blocks within the key. Each row is thus held against two square roots
+    of the number of fields instead of every field, and both steps aggregate on
+    the map side too.
     """
     name, value = F.col(name_col), F.col(value_col)
     rows = eav.select(*keys, name_col, value_col)
-    if not keep_empty:
-        rows = rows.filter(name.isin(list(fields)))
-    return rows.groupBy(*keys).pivot(name_col, list(fields)).agg(F.max(value))
+    if len(fields) <= FEW_FIELDS:
+        if not keep_empty:
+            rows = rows.filter(name.isin(list(fields)))
+        return rows.groupBy(*keys).pivot(name_col, list(fields)).agg(F.max(value))
+    width = math.isqrt(len(fields) - 1) + 1
+    slots = eav.sparkSession.createDataFrame([(f, *divmod(i, width)) for i, f in enumerate(fields)], "__name string, __block int, __place int")
+    placed = rows.join(F.broadcast(slots), name == F.col("__name"), "left" if keep_empty else "inner")
+    blocks = placed.groupBy(*keys, "__block").agg(*[F.max(F.when(F.col("__place") == p, value)).alias(f"__{p}") for p in range(width)])
+    cells = F.struct(*[f"__{p}" for p in range(width)])
+    wide = blocks.groupBy(*keys).agg(*[F.any_value(F.when(F.col("__block") == b, cells), F.lit(True)).alias(f"__b{b}") for b in range(-(-len(fields) // width))])
+    return wide.select(*keys, *[F.col(f"__b{i // width}")[f"__{i % width}"].alias(f) for i, f in enumerate(fields)])
 
 
 def field_names(eav: DataFrame, name_col: str = "field_name") -> list[str]:

@@ -368,3 +368,21 @@ def test_a_dynamic_pivot_works_its_rows_out_once(spark):
     df = reshape.pivot_dynamic(eav.mapInArrow(count, eav.schema), ["k"])
     assert df.columns == ["k", "a", "b"] and rows(df, "k") == [("1", "x", None), ("2", None, None)]
     assert seen.value == 3
+
+
+def test_wide_pivot_holds_rows_against_few_fields(spark):
+    fields = [f"f{i}" for i in range(100)] + ["absent"]
+    rows = [(r, f"f{(r * 7 + i) % 103}", f"{r}-{i}") for r in range(6) for i in range(0, 60, 1 + r)]
+    rows += [(0, "f0", "zz"), (0, "f0", None), (7, "other", "x"), (8, None, "x"), (None, "f1", "y"), (9, "f3", None)]
+    eav = spark.createDataFrame(rows, "record long, field_name string, field_value string")
+    for keep in (False, True):
+        got = reshape.pivot_fields(eav, ["record"], fields, keep_empty=keep)
+        want = {}
+        for r, name, value in rows:
+            if keep or name in fields:
+                cells = want.setdefault(r, dict.fromkeys(fields))
+                if name in fields and value is not None:
+                    cells[name] = max(cells[name] or "", value)
+        assert got.columns == ["record", *fields]
+        assert {r.record: {f: r[f] for f in fields} for r in got.collect()} == want
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("max(") < 30
