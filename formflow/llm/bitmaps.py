@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: 8 MB at most. With very many hashes a bitmap fills up and drops less; the join behind it decides in any case.
@@ -47,3 +47,16 @@ def held(hashes: np.ndarray, bits: int, bitmap: np.ndarray) -> np.ndarray:
         slot = half >> np.uint64(64 - bits)
         found &= (bitmap[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
     return found
+
+
+def holding(rows: DataFrame, hashed: Column, bits: int, bitmap: np.ndarray) -> DataFrame:
+    """The rows whose 64-bit hash ``hashed`` the bitmap may hold."""
+    names = rows.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                keep = held(np.asarray(batch.column("__hash"), dtype=np.int64).view(np.uint64), bits, bitmap)
+                yield batch.select(names).filter(pa.array(keep))
+
+    return rows.withColumn("__hash", hashed).mapInArrow(run, rows.schema)

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from formflow.llm.batches import slices
-from formflow.llm.bitmaps import bitmap_of, collected, held
+from formflow.llm.bitmaps import bitmap_of, collected, held, holding
 from formflow.llm.columns import row_key
 from formflow.llm.components import connected_components
 from formflow.llm.hashing import run_hashes, word_hashes
@@ -137,15 +137,24 @@ def _similar_sizes(a: str, b: str, threshold: float):
     return (F.col(a) >= threshold * F.col(b)) & (F.col(b) >= threshold * F.col(a))
 
 
+def shared_lists(lists: DataFrame) -> DataFrame:
+    """The lists of several members, with their ``size``.
+
+    Most lists have one member. They are counted by their values alone, and a bitmap of bounded size keeps them from moving.
+    """
+    sizes = materialise(lists.groupBy("value").agg(F.count("*").alias("size")).where("size > 1"), "minhash-sizes")
+    return materialise(holding(lists, F.col("value"), *bitmap_of(sizes, "value")).join(sizes, "value"), "minhash-lists")
+
+
 def pivot_pairs(lists: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     """(a, b, votes): each class with the pivots of its lists, and the lists of over three members."""
     me = F.struct("cls", "n")
-    pivots = lists.groupBy("value").agg(
-        F.count("*").alias("size"), F.max(F.struct("score", "cls", "n")).alias("p"), F.min(F.struct("score", "cls", "n")).alias("q"), F.max(me).alias("r"), F.min(me).alias("s"))
+    shared = shared_lists(lists)
+    pivots = shared.groupBy("value").agg(
+        F.max(F.struct("score", "cls", "n")).alias("p"), F.min(F.struct("score", "cls", "n")).alias("q"), F.max(me).alias("r"), F.min(me).alias("s"))
     four = F.array_distinct(F.array(*[F.struct(F.col(f"{p}.cls").alias("cls"), F.col(f"{p}.n").alias("n")) for p in "pqrs"]))
-    pivots = materialise(pivots.where("size > 1").select(F.col("value").alias("__value"), "size", four.alias("pivots")), "minhash-pivots")
-    shared = materialise(lists.join(pivots, F.col("value") == F.col("__value")).select("value", "cls", "n", "size", "pivots"), "minhash-lists")
-    pairs = shared.select("cls", "n", F.explode("pivots").alias("p")).select("cls", "n", F.col("p.cls").alias("pivot"), F.col("p.n").alias("m"))
+    pivots = materialise(pivots.select("value", four.alias("pivots")), "minhash-pivots")
+    pairs = shared.join(pivots, "value").select("cls", "n", F.explode("pivots").alias("p")).select("cls", "n", F.col("p.cls").alias("pivot"), F.col("p.n").alias("m"))
     pairs = pairs.where((F.col("cls") != F.col("pivot")) & _similar_sizes("n", "m", threshold)).groupBy("cls", "pivot").agg(F.count("*").alias("votes"))
     return materialise(pairs, "minhash-pairs"), shared.where("size > 3").select("value", "cls", "n", "size")
 
@@ -204,6 +213,12 @@ def _side(table: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
     return table.select(F.col("cls").alias(key), *[F.col(c).alias(n) for c, n in columns.items()])
 
 
+def _sketches_of(wanted: DataFrame, classes: DataFrame) -> DataFrame:
+    """(cls, n, sketch) of the wanted classes and a few others: a bitmap of bounded size keeps most sketches from moving."""
+    bits, bitmap = bitmap_of(wanted.select(F.xxhash64("cls").alias("__hash")), "__hash")
+    return holding(classes.select("cls", "n", "sketch"), F.xxhash64("cls"), bits, bitmap)
+
+
 def full_sets(wanted: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     """(cls, members) of the wanted classes (cls, print): their whole sets, made anew from the texts.
 
@@ -211,13 +226,14 @@ def full_sets(wanted: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     """
     wanted = materialise(wanted.select("cls", "print", F.conv(F.substring(F.hex("print"), 1, 16), 16, -10).cast("long").alias("__hash")), "minhash-wanted")
     found = texts.mapInArrow(_sets(size, *bitmap_of(wanted, "__hash")), "print binary, members binary")
-    return materialise(found.join(wanted.select("print", "cls"), "print").dropDuplicates(["cls"]).select("cls", "members"), "minhash-sets")
+    # Repeated sets go before the join, which then needs no further shuffle of the members.
+    return materialise(found.dropDuplicates(["print"]).join(wanted.select("print", "cls"), "print").select("cls", "members"), "minhash-sets")
 
 
 def confirm(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose sets are similar enough: estimated on sketches, then confirmed on full sets."""
-    # Each side meets the pairs, which are small, so only sketches that are in a pair move.
-    known = pairs.join(_side(classes, "a", {"sketch": "sa", "n": "na"}), "a").join(pairs.join(_side(classes, "b", {"sketch": "sb", "n": "nb"}), "b"), ["a", "b"])
+    sketches = _sketches_of(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), classes)
+    known = pairs.join(_side(sketches, "a", {"sketch": "sa", "n": "na"}), "a").join(_side(sketches, "b", {"sketch": "sb", "n": "nb"}), "b")
     likely = materialise(known.mapInArrow(_estimated(percent / 100), "a long, b long"), "minhash-likely")
     if likely.isEmpty():
         return likely
@@ -339,7 +355,7 @@ def enough_in_common(open_classes: DataFrame, classes: DataFrame, threshold: flo
 
     That number is the one that the inverted lists go by. Values that one root alone holds are in no pair's intersection.
     """
-    sketches = open_classes.join(classes.select("cls", "sketch"), "cls")
+    sketches = open_classes.join(_sketches_of(open_classes, classes).select("cls", "sketch"), "cls")
     needed = F.least(F.lit(SHARED), F.ceil(threshold * F.size("sketch") - 1e-9))
     values = materialise(sketches.select("cls", "root", needed.alias("needed"), F.explode("sketch").alias("value")), "minhash-sketch-values")
     several = values.groupBy("value").agg((F.min("root") != F.max("root")).alias("several")).where("several").select("value")

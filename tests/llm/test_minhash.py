@@ -202,3 +202,35 @@ def test_edge_cases(spark):
     assert minhash.near_duplicates(empty, ["doc_id"], "doc_id").isEmpty() and minhash.keep_one(empty).isEmpty()
     unlinked = minhash.near_duplicates(docs.where(F.col("doc_id") == 5), ["doc_id"], "doc_id").collect()
     assert [r.component for r in unlinked] == [5]
+
+
+def test_only_wanted_sketches_and_shared_lists_move(spark):
+    rng = np.random.default_rng(8)
+    classes = spark.createDataFrame(
+        [(i + (i % 3 << 33), 70, [int(v) for v in rng.integers(-2**63, 2**63, 4)]) for i in range(4000)], "cls long, n long, sketch array<long>")
+    wanted = classes.select("cls").where("cls % 1000 = 7")
+    got = minhash._sketches_of(wanted, classes)
+    asked = {r.cls for r in wanted.collect()}
+    assert asked and asked <= {r.cls for r in got.collect()} and got.count() < len(asked) + 40
+    assert minhash._sketches_of(wanted.where("false"), classes).isEmpty()
+    lists = spark.createDataFrame(
+        [(int(v), c, 70, 0.5) for c, v in enumerate(rng.integers(-2**63, 2**63, 3000))] + [(v, c, 70, 0.5) for v in (-5, 0, 12) for c in range(v % 7 + 2)],
+        "value long, cls long, n long, score float")
+    shared = minhash.shared_lists(lists).groupBy("value").agg(F.count("*").alias("rows"), F.max("size").alias("size")).collect()
+    assert {(r.value, r.rows, r["size"]) for r in shared} == {(v, v % 7 + 2, v % 7 + 2) for v in (-5, 0, 12)}
+
+
+def test_members_move_once_to_the_classes_that_want_them(spark):
+    docs = spark.createDataFrame([(i, " ".join(f"w{i % 40}_{j}" for j in range(30))) for i in range(200)], "doc_id long, text string").repartition(6)
+    rows = docs.mapInArrow(minhash._sketches(4), "doc_id long, n long, print binary, sketch array<long>")
+    classes = rows.groupBy("print").agg(F.min("doc_id").alias("cls"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plans, write = [], minhash.materialise
+    try:
+        minhash.materialise = lambda df, purpose, keep=False: (plans.append((purpose, df._jdf.queryExecution().executedPlan().toString())), write(df, purpose, keep))[1]
+        sets = minhash.full_sets(classes, docs.select("text"), 4)
+        assert sets.count() == 40 and {r.n for r in sets.select(F.length("members").alias("n")).collect()} == {27 * 8}
+    finally:
+        minhash.materialise = write
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert dict(plans)["minhash-sets"].count("Exchange hashpartitioning") == 2
