@@ -9,8 +9,9 @@ A document's set holds the hashes of its distinct word shingles; its sketch is t
    table of bounded size. Values that very many different documents share (boilerplate) are thus mostly never listed. Sets
    smaller than a sketch are listed by the same rule with their own size, which is exact.
 3. Pairs. A list gives no pairs of its members: each member meets the list's pivots (its most typical, least typical,
-   first and last class). A class is first checked against the pivot it shares most lists with, then the pivots still in
-   other components. Of lists that still span several components, short ones give all their pairs, and long ones
+   first and last class). A class is first checked against the pivot it shares most lists with, then against pivots still in
+   other components: all of them where a list has at most ``FEW`` members, which pivots cover, and of longer lists the
+   ``FURTHER`` that it shares most with, as whatever these leave open comes up again below. Of lists that still span several components, short ones give all their pairs, and long ones
    neighbours, each list in a random order of its own. Classes of long lists that are open even then and have ``SHARED``
    sketch values in common with other components (``enough_in_common``) meet on their full sets: exact counts rule out each
    class with too many values of its own, and the others meet in the rarest values, where their places and parity words
@@ -48,6 +49,9 @@ from formflow.session import intermediates, materialise
 SKETCH, SHARED = 64, 30
 #: Pairs of one class that are checked because they are neighbours in lists; all others go the exact way.
 NEIGHBOURS = 8
+#: Members of a list that its pivots cover, so that all pairs with them are checked; and pivots of longer lists for each
+#: class in the second pass.
+FEW, FURTHER = 3, 2
 #: Members of a list whose pairs are all checked if it is open after the pivots: at most ``SHORT - 1`` for each member.
 SHORT = 8
 #: log2 of the number of counters in the frequency table.
@@ -147,16 +151,19 @@ def shared_lists(lists: DataFrame) -> DataFrame:
 
 
 def pivot_pairs(lists: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """(a, b, votes): each class with the pivots of its lists, and the lists of over three members."""
+    """(cls, pivot, votes, few): each class with the pivots of its lists, and the lists of over ``FEW`` members.
+
+    ``few`` tells that the two are in a list of at most ``FEW`` members.
+    """
     me = F.struct("cls", "n")
     shared = shared_lists(lists)
     pivots = shared.groupBy("value").agg(
         F.max(F.struct("score", "cls", "n")).alias("p"), F.min(F.struct("score", "cls", "n")).alias("q"), F.max(me).alias("r"), F.min(me).alias("s"))
     four = F.array_distinct(F.array(*[F.struct(F.col(f"{p}.cls").alias("cls"), F.col(f"{p}.n").alias("n")) for p in "pqrs"]))
     pivots = materialise(pivots.select("value", four.alias("pivots")), "minhash-pivots")
-    pairs = shared.join(pivots, "value").select("cls", "n", F.explode("pivots").alias("p")).select("cls", "n", F.col("p.cls").alias("pivot"), F.col("p.n").alias("m"))
-    pairs = pairs.where((F.col("cls") != F.col("pivot")) & _similar_sizes("n", "m", threshold)).groupBy("cls", "pivot").agg(F.count("*").alias("votes"))
-    return materialise(pairs, "minhash-pairs"), shared.where("size > 3").select("value", "cls", "n", "size")
+    pairs = shared.join(pivots, "value").select("cls", "n", "size", F.explode("pivots").alias("p")).select("cls", "n", "size", F.col("p.cls").alias("pivot"), F.col("p.n").alias("m"))
+    pairs = pairs.where((F.col("cls") != F.col("pivot")) & _similar_sizes("n", "m", threshold)).groupBy("cls", "pivot").agg(F.count("*").alias("votes"), (F.min("size") <= FEW).alias("few"))
+    return materialise(pairs, "minhash-pairs"), shared.where(F.col("size") > FEW).select("value", "cls", "n", "size")
 
 
 def _estimated(threshold: float):
@@ -230,14 +237,19 @@ def full_sets(wanted: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     return materialise(found.dropDuplicates(["print"]).join(wanted.select("print", "cls"), "print").select("cls", "members"), "minhash-sets")
 
 
+def classes_of(pairs: DataFrame) -> DataFrame:
+    """(cls): the classes of the pairs (a, b), worked out once."""
+    return materialise(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), "minhash-members")
+
+
 def confirm(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose sets are similar enough: estimated on sketches, then confirmed on full sets."""
-    sketches = _sketches_of(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), classes)
+    sketches = _sketches_of(classes_of(pairs), classes)
     known = pairs.join(_side(sketches, "a", {"sketch": "sa", "n": "na"}), "a").join(_side(sketches, "b", {"sketch": "sb", "n": "nb"}), "b")
     likely = materialise(known.mapInArrow(_estimated(percent / 100), "a long, b long"), "minhash-likely")
     if likely.isEmpty():
         return likely
-    wanted = likely.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(classes.select("cls", "print"), "cls")
+    wanted = classes_of(likely).join(classes.select("cls", "print"), "cls")
     sets = full_sets(wanted, texts, size)
     full = likely.join(_side(sets, "a", {"members": "ma"}), "a").join(_side(sets, "b", {"members": "mb"}), "b")
     return materialise(full.mapInArrow(_confirmed(percent), "a long, b long"), "minhash-links")
@@ -301,11 +313,25 @@ def _ordered(pairs: DataFrame, x: str, y: str) -> DataFrame:
 
 
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are not in one component yet."""
+    """The pairs (a, b, and further columns) that are not in one component yet."""
+    names = pairs.columns
     for c in "ab":
         of = roots.select(F.col("node").alias("__node"), F.col("root").alias(f"__r{c}"))
         pairs = pairs.join(of, pairs[c] == of["__node"], "left").drop("__node")
-    return pairs.where(F.coalesce("__ra", "a") != F.coalesce("__rb", "b")).select("a", "b")
+    return pairs.where(F.coalesce("__ra", "a") != F.coalesce("__rb", "b")).select(*names)
+
+
+def further_pairs(pairs: DataFrame, first: DataFrame, roots: DataFrame) -> DataFrame:
+    """(a, b): classes with pivots of their lists in other components, without those checked first.
+
+    All pivots of lists of at most ``FEW`` members, and of longer lists the ``FURTHER`` that a class shares most lists with.
+    """
+    checked = first.unionByName(first.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    apart = _apart(pairs.select(F.col("cls").alias("a"), F.col("pivot").alias("b"), "votes", "few").join(checked, ["a", "b"], "left_anti"), roots)
+    apart = materialise(apart, "minhash-apart")
+    most = F.slice(F.sort_array(F.collect_list(F.struct("votes", "b")), asc=False), 1, FURTHER)
+    some = apart.where("not few").groupBy("a").agg(most.alias("most")).select("a", F.explode("most.b").alias("b"))
+    return _ordered(apart.where("few").select("a", "b").unionByName(some), "a", "b")
 
 
 def open_lists(lists: DataFrame, roots: DataFrame) -> DataFrame:
@@ -371,7 +397,7 @@ def link_classes(classes: DataFrame, texts: DataFrame, size: int, percent: int)
     first = materialise(_ordered(best, "cls", "pivot"), "minhash-first")
     links = confirm(first, classes, texts, size, percent)
     roots = connected_components(links)
-    second = materialise(_apart(_ordered(pairs, "cls", "pivot").join(first, ["a", "b"], "left_anti"), roots), "minhash-second")
+    second = materialise(further_pairs(pairs, first, roots), "minhash-second")
     links = links.unionByName(confirm(second, classes, texts, size, percent))
     roots = connected_components(links)
     opened = open_lists(long_lists, roots)

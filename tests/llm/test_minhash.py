@@ -234,3 +234,24 @@ def test_members_move_once_to_the_classes_that_want_them(spark):
         minhash.materialise = write
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert dict(plans)["minhash-sets"].count("Exchange hashpartitioning") == 2
+
+
+def test_second_pass_takes_few_pivots_of_long_lists(spark):
+    rows = [(9, p, v, few) for p, v, few in ((1, 5, False), (2, 9, False), (3, 7, False), (4, 8, False), (5, 1, True), (6, 2, True), (7, 9, False), (8, 9, True))]
+    pairs = spark.createDataFrame(rows + [(10, 2, 3, False)], "cls long, pivot long, votes long, few boolean")
+    first = spark.createDataFrame([(2, 9), (8, 9)], "a long, b long")  # checked, in this order, and no link
+    roots = spark.createDataFrame([(7, 7), (9, 7)], "node long, root long")
+    got = {(r.a, r.b) for r in minhash.further_pairs(pairs, first, roots).collect()}
+    assert got == {(4, 9), (3, 9), (5, 9), (6, 9), (2, 10)} and minhash.FURTHER == 2
+
+
+def test_group_around_the_threshold_checks_few_pairs_a_text(spark, monkeypatch):
+    rng = random.Random(23)
+    base = [f"b{i}" for i in range(200)]
+    texts = [" ".join(edited(rng, base, 5)) for _ in range(300)]
+    checked, check = [], minhash.confirm
+    monkeypatch.setattr(minhash, "confirm", lambda pairs, *rest: checked.append(pairs.count()) or check(pairs, *rest))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component for r in minhash.near_duplicates(docs, ["doc_id"], "doc_id", 4).collect()}
+    assert got == dict(enumerate(brute(texts, 4)[1]))
+    assert checked[1] <= 3 * len(texts), checked
