@@ -44,7 +44,7 @@ from formflow.llm.bitmaps import bitmap_of, collected, held, holding
 from formflow.llm.columns import row_key
 from formflow.llm.components import connected_components
 from formflow.llm.hashing import run_hashes, word_hashes
-from formflow.session import intermediates, materialise
+from formflow.session import arrow_batches, intermediates, materialise
 
 SKETCH, SHARED = 64, 30
 #: Pairs of one class that are checked because they are neighbours in lists; all others go the exact way.
@@ -425,7 +425,7 @@ def near_duplicates(docs: DataFrame, ids: list[str], order: str, size: int = 5,
     The component is the smallest value of the column ``order`` (one of ``ids``) in the row's component; a row with an
     empty set has its own value.
     """
-    with intermediates(docs.sparkSession):
+    with intermediates(docs.sparkSession), arrow_batches(docs.sparkSession):
         source = docs.select(*ids, F.col("text").cast("string").alias("text"))
         kinds = ", ".join(f"`{c}` {t}" for c, t in source.dtypes if c != "text")
         rows = materialise(source.mapInArrow(_sketches(size), kinds + ", n long, print binary, sketch array<long>"), "minhash-rows")

@@ -255,3 +255,26 @@ def test_group_around_the_threshold_checks_few_pairs_a_text(spark, monkeypatch):
     got = {r.doc_id: r.component for r in minhash.near_duplicates(docs, ["doc_id"], "doc_id", 4).collect()}
     assert got == dict(enumerate(brute(texts, 4)[1]))
     assert checked[1] <= 3 * len(texts), checked
+
+
+def test_texts_reach_workers_in_small_batches(spark, monkeypatch):
+    sketches = minhash._sketches
+
+    def watched(size):
+        def run(batches):
+            def seen():
+                for batch in batches:
+                    assert batch.nbytes <= 3 << 20, batch.nbytes
+                    yield batch
+
+            return inner(seen())
+
+        inner = sketches(size)
+        return run
+
+    monkeypatch.setattr(minhash, "_sketches", watched)
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    docs = spark.range(0, 2000, 1, 1).selectExpr("id as doc_id", "repeat(concat('w', id, ' '), 800) as text")
+    got = minhash.near_duplicates(docs, ["doc_id"], "doc_id", 4)
+    assert got.where("component = doc_id and n = 1").count() == 2000
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
