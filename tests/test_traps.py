@@ -386,3 +386,26 @@ def test_wide_pivot_holds_rows_against_few_fields(spark):
         assert got.columns == ["record", *fields]
         assert {r.record: {f: r[f] for f in fields} for r in got.collect()} == want
     assert got._jdf.queryExecution().optimizedPlan().toString().count("max(") < 30
+
+
+@pytest.mark.parametrize("keys", [["record"], ["site", "record"], []])
+def test_cells_of_a_wide_pivot_move_once(spark, keys):
+    """Blocks of cells were shuffled by (key, block), and again by key, each with room for a whole block."""
+    fields = [f"f{i}" for i in range(30)]
+    cells = [(s, r, f"f{(3 * r + i) % 33}", None if i == 4 else f"{s}{r}{i}") for s in ("a", None) for r in range(5) for i in range(20)]
+    cells += [("a", None, "f1", v) for v in ("b", "", None, "a", "b")] + [(None, 9, "f2", None), ("a", 8, "other", "x"), ("a", 7, None, "x")]
+    cells += [("a", 1, "f3", str(i)) for i in range(2000)]
+    eav = spark.createDataFrame(cells, "site string, record int, field_name string, field_value string").repartition(4)
+    for keep in (False, True):
+        got = reshape.pivot_fields(eav, keys, fields, keep_empty=keep)
+        want = {}
+        for site, record, name, value in cells:
+            if keep or name in fields:
+                row = want.setdefault(tuple({"site": site, "record": record}[k] for k in keys), dict.fromkeys(fields))
+                if name in fields and value is not None:
+                    row[name] = value if row[name] is None else max(row[name], value)
+        found = got.collect()
+        assert len(found) == len(want) and {tuple(r[k] for k in keys): {f: r[f] for f in fields} for r in found} == want
+        if keys:
+            plan = reshape.pivot_fields(eav, keys, fields, keep_empty=keep)._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1
