@@ -111,10 +111,11 @@ def pivot_fields(
     ``keep_empty`` keeps keys that have none of the fields. Beyond ``FEW_FIELDS``
     the fields are dealt to blocks: values are placed within the block of a key,
     then the blocks within the key. Each row is thus held against two square roots
-    of the number of fields instead of every field. The cells move once, by key and
-    with their field's number for its name, and are sorted once for both steps.
-    Blocks are not moved: most of their places are empty. All cells of a key meet in
-    one task, whose memory holds its sort (which may spill) and one row.
+    of the number of fields instead of every field. The cells move once, by key, and
+    are sorted once for both steps; of a text and its field's name one short text is
+    made, the value behind the digits of block and place. Blocks are not moved: most
+    of their places are empty. All cells of a key meet in one task, whose memory
+    holds its sort (which may spill) and one row.
     """
     name, value = F.col(name_col), F.col(value_col)
     rows = eav.select(*keys, name_col, value_col)
@@ -123,13 +124,20 @@ def pivot_fields(
             rows = rows.filter(name.isin(list(fields)))
         return rows.groupBy(*keys).pivot(name_col, list(fields)).agg(F.max(value))
     width = math.isqrt(len(fields) - 1) + 1
-    slots = eav.sparkSession.createDataFrame([*enumerate(fields)], "__slot int, __name string")
-    cells = rows.join(F.broadcast(slots), name == F.col("__name"), "left" if keep_empty else "inner").select(*keys, "__slot", value.alias("__value"))
+    digits = len(str(width - 1))
+    marks = [(f, f"{i // width:0{digits}}{i % width:0{digits}}") for i, f in enumerate(fields)]
+    slots = eav.sparkSession.createDataFrame(marks, "__name string, __mark string")
+    placed = rows.join(F.broadcast(slots), name == F.col("__name"), "left" if keep_empty else "inner")
+    text = rows.schema[value_col].dataType == T.StringType()
+    cell = F.col("__cell")
+    cells = placed.select(*keys, (F.concat("__mark", value) if text else F.struct("__mark", value.alias("value"))).alias("__cell"))
     if keys:
         cells = cells.repartition(*keys)
-    slot = F.col("__slot")
-    placed = cells.select(*keys, F.floor(slot / width).cast("int").alias("__block"), (slot % width).alias("__place"), "__value")
-    blocks = placed.groupBy(*keys, "__block").agg(*[F.max(F.when(F.col("__place") == p, F.col("__value"))).alias(f"__{p}") for p in range(width)])
+    mark = cell if text else cell["__mark"]
+    block, place = (F.substring(mark, 1 + at, digits).cast("int") for at in (0, digits))
+    largest = [F.max(F.when(place == p, cell)) for p in range(width)]  # of cells with the same mark
+    contents = [F.substring(c, 1 + 2 * digits, 2**31 - 1) if text else c["value"] for c in largest]
+    blocks = cells.withColumn("__block", block).groupBy(*keys, "__block").agg(*[c.alias(f"__{p}") for p, c in enumerate(contents)])
     parts = F.struct(*[f"__{p}" for p in range(width)])
     wide = blocks.groupBy(*keys).agg(*[F.any_value(F.when(F.col("__block") == b, parts), F.lit(True)).alias(f"__b{b}") for b in range(-(-len(fields) // width))])
     return wide.select(*keys, *[F.col(f"__b{i // width}")[f"__{i % width}"].alias(f) for i, f in enumerate(fields)])

@@ -409,3 +409,22 @@ def test_cells_of_a_wide_pivot_move_once(spark, keys):
         if keys:
             plan = reshape.pivot_fields(eav, keys, fields, keep_empty=keep)._jdf.queryExecution().executedPlan().toString()
             assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1
+
+
+def test_a_wide_pivot_takes_values_of_any_type(spark):
+    fields = [f"f{i}" for i in range(120)]
+    eav = spark.range(700).select((F.col("id") % 3).alias("k"), F.concat(F.lit("f"), F.col("id") % 130).alias("field_name"), F.when(F.col("id") % 7 > 0, F.col("id") - 350).alias("field_value"))
+    for kind in ("bigint", "string", "decimal(9,2)"):
+        typed = eav.withColumn("field_value", F.col("field_value").cast(kind))
+        got, cells = reshape.pivot_fields(typed, ["k"], fields), {}
+        for k, name, value in typed.where("field_value is not null").collect():
+            cells[k, name] = max(cells.get((k, name), value), value)
+        assert {d for _, d in got.dtypes[1:]} == {kind}
+        assert {r.k: r[1:] for r in got.collect()} == {k: tuple(cells.get((k, f)) for f in fields) for k in range(3)}
+
+
+def test_values_keep_their_digits_and_blanks_in_a_wide_pivot(spark):
+    fields = [f"f{i:02}" for i in range(40)]
+    values = ["", " ", "0", "00", "12", "-1", "9" * 50, "\u00e4\n", "\U0001f600"]
+    eav = spark.createDataFrame([("k", f, v) for f, v in zip(fields, values * 4)] + [("k", "f00", None)], "k string, field_name string, field_value string")
+    assert reshape.pivot_fields(eav, ["k"], fields).collect()[0][1:] == (*(values * 4), *[None] * 4)
